@@ -1,3 +1,10 @@
 """alignlake: Spark jobs for chat-model post-training data, evaluation tables and telemetry."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -190,10 +190,14 @@ def t_tail(t: float, dof: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
-def _p_value(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for ts, dofs in batches:
-        yield pd.Series([math.nan if pd.isna(t) else t_tail(t, n) for t, n in zip(ts, dofs)])
+def p_value(t: Column, dof: Column) -> Column:
+    """Tail probability of aggregated rows; one value per test, so the rows are few."""
+
+    def tails(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for ts, dofs in batches:
+            yield pd.Series([math.nan if pd.isna(t) else t_tail(t, n) for t, n in zip(ts, dofs)])
+
+    return F.pandas_udf(tails, "double")(t, dof)
 
 
 def significance(df: DataFrame, value: str = "overall_quality", keys: Sequence[str] = ()) -> DataFrame:
@@ -218,7 +222,7 @@ def significance(df: DataFrame, value: str = "overall_quality", keys: Sequence[s
         .withColumn("pooled_std", F.sqrt(pooled))
         .withColumn("t_statistic", F.when(error > 0, difference / error).otherwise(
             F.when(F.col("pooled_std").isNotNull(), infinite)))
-        .withColumn("p_value", _p_value(F.col("t_statistic"), F.col("dof").cast("double")))
+        .withColumn("p_value", p_value(F.col("t_statistic"), F.col("dof").cast("double")))
         .withColumn("cohens_d", F.when(F.col("pooled_std") > 0, difference / F.col("pooled_std")).otherwise(0.0))
         .withColumn("significant", F.coalesce(~F.isnan("p_value") & (F.col("p_value") < 0.05), F.lit(False)))
         .withColumn("effect_size", F.when(effect >= 0.8, "large").when(effect >= 0.5, "medium").otherwise("small"))

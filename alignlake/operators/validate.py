@@ -174,7 +174,14 @@ def preference_reason(df: DataFrame, max_length: int, validate: bool = True) ->
 
 
 def successful(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("reason") == "successful").drop("reason")
+    """Keep the successful rows.
+
+    They pass through a one-element explode: a plain filter would move below the projections and
+    repeat rendering and tokenizing inside its condition.
+    """
+    kept = F.struct(*[F.col(c) for c in df.columns if c != "reason"])
+    passed = F.when(F.col("reason") == "successful", F.array(kept))
+    return df.select(F.explode(passed).alias("_row")).select("_row.*")
 
 
 def length_filter_reason(df: DataFrame, max_length: int = 512) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from alignlake.functions import patterns
 from alignlake.operators import evaluation, normalize, quality, reports, sampling, telemetry, tokens, validate
+from alignlake.session import written
 
 
 def process_chats(df: DataFrame, vocab: DataFrame, max_length: int = tokens.MAX_LENGTH) -> DataFrame:
@@ -40,7 +41,8 @@ def prepare_table(df: DataFrame, kind: str, order_by: str, vocab: DataFrame | No
                   max_length: int = tokens.MAX_LENGTH) -> DataFrame:
     """Cap, validate, filter, process and check a raw table; raises when a check fails.
 
-    The two checks are aggregates of which one row reaches the driver. Streams skip the last one.
+    The two checks are aggregates of which one row reaches the driver. A batch result is stored before
+    its check, so tokenizing runs once; streams skip that check.
     """
     if kind not in ("chat", "preference"):
         raise ValueError(f"unknown kind: {kind}")
@@ -53,6 +55,7 @@ def prepare_table(df: DataFrame, kind: str, order_by: str, vocab: DataFrame | No
     process = process_chats if kind == "chat" else process_preferences
     done = validate.successful(process(rows, words, max_length))
     if check_processed and not done.isStreaming:
+        done = written(done, f"prepared-{kind}")
         if not validate.format_gate(done, kind, max_length, order_by).first()["passed"]:
             raise ValueError("processed table validation failed")
     return done
@@ -69,7 +72,7 @@ def preference_training_split(df: DataFrame, row_id: str, vocab: DataFrame | Non
                               max_length: int = tokens.MAX_LENGTH, exact: bool = False) -> DataFrame:
     """Processed preference rows with their train or eval side."""
     words = vocab if vocab is not None else vocabulary_of(df, "preference")
-    done = validate.successful(process_preferences(df, words, max_length))
+    done = written(validate.successful(process_preferences(df, words, max_length)), "preference-rows")
     return sampling.train_eval_split(done, row_id, row_id, exact=exact)
 
 

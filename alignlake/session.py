@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "alignlake") -> SparkSession:
@@ -49,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call will use."""
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table stored below the shared folder and read back.
+
+    For costly tables that later steps scan several times: positions, gates and splits each need more
+    than one pass, and a stored table also cuts the lineage that a lost executor would replay.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
