@@ -51,12 +51,12 @@ def load_first(spark: SparkSession, paths: Iterable[str], fmt: str = "parquet",
 
 
 def stream_table(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",
-                 files_per_batch: int = 1) -> DataFrame:
-    """The same table as an unbounded source; ``files_per_batch`` bounds each micro-batch."""
-    return (
-        spark.readStream.format(fmt).schema(schema)
-        .option("maxFilesPerTrigger", str(files_per_batch)).load(path)
-    )
+                 files_per_batch: int = 1, pattern: str | None = None) -> DataFrame:
+    """A folder as an unbounded source; ``files_per_batch`` bounds each micro-batch, ``pattern`` picks files."""
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", str(files_per_batch))
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(path)
 
 
 class TableCache:
