@@ -88,9 +88,14 @@ def word_regex(words: Sequence[str], stems: Sequence[str] = ()) -> str:
 HARMFUL_REGEX = word_regex([row for rows in HARMFUL_WORDS.values() for row in rows], HARMFUL_STEMS)
 
 
+def is_harmful_lowered(lowered: Column, regex: str = HARMFUL_REGEX) -> Column:
+    """The same for a text that is in lower case already."""
+    return F.coalesce(lowered.rlike(regex), F.lit(False))
+
+
 def is_harmful(text: Column, regex: str = HARMFUL_REGEX) -> Column:
     """True when the text holds an unsafe word. NULL text is harmless."""
-    return F.coalesce(F.lower(text).rlike(regex), F.lit(False))
+    return is_harmful_lowered(F.lower(text), regex)
 
 
 def publishing_issues(text: Column, patterns: Sequence[str] = tuple(PUBLISHING_PATTERNS)) -> Column:

@@ -12,6 +12,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a regular-expression class. Property names match far faster than a list.
+_SPACE = r"\s\p{Z}\x1C-\x1F\x85"
+
 # Words, single punctuation marks and the four chat markers, which are never split.
 TOKEN_REGEX = (
     r"<\|(?:system|user|assistant|end)\|>|[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s\p{Z}]"
@@ -31,18 +34,18 @@ def is_blank(text: Column) -> Column:
 def words(stripped: Column) -> Column:
     """Whitespace-separated words of an already stripped text; blank gives an empty array."""
     return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
-        F.split(stripped, f"[{WHITESPACE}]+")
+        F.split(stripped, f"[{_SPACE}]+")
     )
 
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words, without building an array."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+    return F.regexp_count(text, F.lit(f"[^{_SPACE}]+"))
 
 
 def sentence_word_count(text: Column) -> Column:
     """Words summed over the pieces between full stops: runs free of whitespace and of '.'."""
-    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}.]+"))
+    return F.regexp_count(text, F.lit(f"[^{_SPACE}.]+"))
 
 
 def piece_count(text: Column) -> Column:

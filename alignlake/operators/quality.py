@@ -17,33 +17,40 @@ def with_quality(df: DataFrame, source: str, out: str = "quality", harmful: str
     Factors for length, repeated words, sentence length and unsafe words multiply up. ``harmful``
     names an existing flag column, so the unsafe-word search need not run twice.
     """
-    flag = F.col(harmful) if harmful else patterns.is_harmful(F.col(source))
+    flag = F.col(harmful) if harmful else patterns.is_harmful_lowered(F.col("_lower"))
+    # Each costly fact is its own column, used more than once below, so it is evaluated once.
     staged = (
         df.withColumn("_clean", text.strip(F.coalesce(F.col(source), F.lit(""))))
-        .withColumn("_words", text.words(F.lower("_clean")))
-        .withColumn("_facts", F.struct(
-            F.length("_clean").alias("size"),
-            F.size("_words").alias("words"),
-            F.size(F.array_distinct("_words")).alias("distinct"),
-            text.piece_count(F.col("_clean")).alias("pieces"),
-            text.sentence_word_count(F.col("_clean")).alias("sentence_words"),
-        ))
+        .withColumn("_lower", F.lower("_clean"))
+        .withColumn("_words", text.words(F.col("_lower")))
+        .withColumns({
+            "_size": F.length("_clean"),
+            "_count": F.size("_words"),
+            "_distinct": F.size(F.array_distinct("_words")),
+            "_pieces": text.piece_count(F.col("_clean")),
+            "_sentence_words": text.sentence_word_count(F.col("_clean")),
+            "_unsafe": flag,
+        })
     )
-    size, count = F.col("_facts.size"), F.col("_facts.words")
-    pieces = F.col("_facts.pieces")
-    variety = F.col("_facts.distinct") / F.greatest(count, F.lit(1))
-    mean_words = F.col("_facts.sentence_words") / F.greatest(pieces, F.lit(1))
+    size, count, pieces = F.col("_size"), F.col("_count"), F.col("_pieces")
+    staged = staged.withColumns({
+        "_variety": F.col("_distinct") / F.greatest(count, F.lit(1)),
+        "_mean_words": F.col("_sentence_words") / F.greatest(pieces, F.lit(1)),
+    })
+    variety, mean_words = F.col("_variety"), F.col("_mean_words")
     factors = [
         F.when(size < 10, 0.3).when(size < 50, 0.7).otherwise(1.0),
         F.when(size > 5000, 0.8).otherwise(1.0),
         F.when((count > 10) & (variety < 0.3), 0.4).when((count > 10) & (variety < 0.5), 0.7).otherwise(1.0),
         F.when((pieces > 1) & (mean_words < 3), 0.6).when((pieces > 1) & (mean_words > 50), 0.8).otherwise(1.0),
-        F.when(flag, 0.1).otherwise(1.0),
+        F.when(F.col("_unsafe"), 0.1).otherwise(1.0),
     ]
     score = factors[0]
     for factor in factors[1:]:
         score = score * factor
-    return staged.withColumn(out, F.when(size == 0, 0.0).otherwise(score)).drop("_clean", "_words", "_facts")
+    return staged.withColumn(out, F.when(size == 0, 0.0).otherwise(score)).drop(
+        "_clean", "_lower", "_words", "_size", "_count", "_distinct", "_pieces", "_sentence_words", "_unsafe",
+        "_variety", "_mean_words")
 
 
 def band(score: Column) -> Column:
@@ -61,12 +68,15 @@ def with_chat_quality(df: DataFrame, messages: str = "messages", out: str = "qua
     return with_quality(joined, "_combined", out).drop("_combined")
 
 
-def with_preference_quality(df: DataFrame, out: str = "quality") -> DataFrame:
-    """Weighted quality of prompt, chosen and rejected; 0 when one of them is missing."""
+def with_preference_quality(df: DataFrame, out: str = "quality", flags: str | None = None) -> DataFrame:
+    """Weighted quality of prompt, chosen and rejected; 0 when one of them is missing.
+
+    ``flags`` is the prefix of existing unsafe-word flags, one per field.
+    """
     scored = df
     weights = {"prompt": 0.4, "chosen": 0.3, "rejected": 0.3}
     for field in weights:
-        scored = with_quality(scored, field, f"_q_{field}")
+        scored = with_quality(scored, field, f"_q_{field}", f"{flags}{field}" if flags else None)
     total = sum(F.col(f"_q_{field}") * weight for field, weight in weights.items())
     complete = F.lit(True)
     for field in weights:

@@ -21,7 +21,8 @@ def raw_checks(df: DataFrame, kind: str) -> DataFrame:
         checked = with_messages(check_raw_chat(df), "_messages")
         scored = quality.with_chat_quality(checked, "_messages").drop("_messages")
     elif kind == "preference":
-        scored = quality.with_preference_quality(with_preference(check_raw_preference(df)))
+        checked = with_preference(check_raw_preference(df, "_unsafe_"))
+        scored = quality.with_preference_quality(checked, flags="_unsafe_")
     else:
         raise ValueError(f"unknown kind: {kind}")
     return scored.withColumn("quality", F.when(F.col("is_valid"), F.col("quality")))

@@ -70,8 +70,12 @@ def check_raw_chat(df: DataFrame) -> DataFrame:
     )
 
 
-def check_raw_preference(df: DataFrame) -> DataFrame:
-    """Add ``is_valid`` and ``warnings`` for an unprocessed preference row."""
+def check_raw_preference(df: DataFrame, flags: str | None = None) -> DataFrame:
+    """Add ``is_valid`` and ``warnings`` for an unprocessed preference row.
+
+    ``flags`` is a prefix under which the unsafe-word flag of each field stays available, so quality
+    scoring need not search the texts again.
+    """
     fields = {"prompt": 5000, "chosen": 10000, "rejected": 10000}
     staged = df.withColumns({
         f"_{f}": text.strip(F.col(f).cast("string")) if f in df.columns else F.lit(None).cast("string")
@@ -86,13 +90,16 @@ def check_raw_preference(df: DataFrame) -> DataFrame:
     for f, most in fields.items():
         size = F.length(f"_{f}")
         notes.append(F.when(size < 10, F.lit(f"short_{f}")).when(size > most, F.lit(f"long_{f}")))
-    notes += [F.when(patterns.is_harmful(F.col(f"_{f}")), F.lit(f"harmful_{f}")) for f in fields]
-    return (
-        staged.withColumn("_fault", fault)
+    unsafe = {f: f"{flags or '_unsafe_'}{f}" for f in fields}
+    notes += [F.when(F.col(unsafe[f]), F.lit(f"harmful_{f}")) for f in fields]
+    done = (
+        staged.withColumns({unsafe[f]: patterns.is_harmful(F.col(f"_{f}")) for f in fields})
+        .withColumn("_fault", fault)
         .withColumn("is_valid", F.col("_fault").isNull())
         .withColumn("warnings", F.when(F.col("is_valid"), _list(*notes)).otherwise(F.array("_fault")))
         .drop("_fault", *[f"_{f}" for f in fields])
     )
+    return done if flags else done.drop(*unsafe.values())
 
 
 def keep_chat(df: DataFrame) -> Column:

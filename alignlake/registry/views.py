@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from alignlake.functions.patterns import HARMFUL_STEMS, HARMFUL_WORDS
 from alignlake.functions.text import TOKEN_REGEX
 from alignlake.operators import normalize, ordering
+from alignlake.session import written
 from alignlake.sources.readers import spread
 
 # Small on purpose: the test tables still pass through several buckets and chunks.
@@ -158,7 +159,7 @@ PLANTED_PAIR = [
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preference pairs: the rejected answer is the one of the next conversation at the same turn."""
     paired = ordering.with_neighbour(
-        exchanges(spark, sf_dir), "conv_id", ["turn"], {"response": "other"}, rows_per_bucket=ROWS_PER_BUCKET)
+        written(exchanges(spark, sf_dir), "exchanges"), "conv_id", ["turn"], {"response": "other"}, rows_per_bucket=ROWS_PER_BUCKET)
     return paired.withColumn("other", F.coalesce("other", F.lit(""))).selectExpr(*PLANTED_PAIR)
 
 
