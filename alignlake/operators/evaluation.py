@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from alignlake.functions import chat, patterns, scoring, text
 from alignlake.operators import ordering
+from alignlake.session import written
 
 DIMENSIONS = ["overall_quality", "helpfulness", "harmlessness", "honesty"]
 
@@ -96,9 +97,13 @@ def side_by_side(base: DataFrame, tuned: DataFrame, on: str = "prompt_id") -> Da
 
 def spread_stats(df: DataFrame, values: Sequence[str], keys: Sequence[str] = (),
                  rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
-    """Per value column and group: count, mean, exact median, sample deviation, minimum, maximum."""
+    """Per value column and group: count, mean, exact median, sample deviation, minimum, maximum.
+
+    The values are stored first: they are narrow, and what they come from is then computed once.
+    """
     keys = list(keys)
-    long = df.unpivot(keys, list(values), "measure", "value").filter(F.col("value").isNotNull())
+    narrow = written(df.select(*keys, *values), "values")
+    long = narrow.unpivot(keys, list(values), "measure", "value").filter(F.col("value").isNotNull())
     stats = long.groupBy(*keys, "measure").agg(
         F.count("value").alias("rows"), F.avg("value").alias("mean"),
         F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),

@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from alignlake.session import written
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 20_000
 CHUNK_ROWS = 500_000
@@ -147,16 +149,24 @@ def attach_group_values(df: DataFrame, keys: Sequence[str], parts: dict[str, Col
     return grouped.join(values, "_group").drop("_group")
 
 
+def salted_join(large: DataFrame, small: DataFrame, keys: Sequence[str], salt_from: Sequence[str],
+                salts: int = 64) -> DataFrame:
+    """Inner join that splits frequent keys: the small side is repeated per salt, large rows spread over them."""
+    spread = large.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(salts)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [*keys, "_salt"]).drop("_salt")
+
+
 def median_by_counts(df: DataFrame, value: str, keys: Sequence[str] = (), upper: bool = False,
                      rows_per_bucket: int = ROWS_PER_BUCKET, name: str = "median") -> DataFrame:
     """Exact median per group from value counts; ``upper`` takes the higher of two middle values.
 
     Equal values are counted before any ordering, so neither a frequent value nor a large group is
-    gathered in one task.
+    gathered in one task. The counts are stored, so the table itself is read once.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
-        F.count("*").alias("_n"))
+    counts = written(df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
+        F.count("*").alias("_n")), "value-counts")
     ranked = with_running_total(counts, "_v", keys, weight=F.col("_n"), name="_from", total="_size",
                                 rows_per_bucket=rows_per_bucket)
     high = F.floor(F.col("_size") / 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alignlake.functions import patterns, text
@@ -13,6 +13,7 @@ from alignlake.operators.normalize import with_messages, with_preference
 from alignlake.operators.sampling import head
 from alignlake.operators.telemetry import RUN_STAGE, nan_to_null
 from alignlake.operators.validate import check_raw_chat, check_raw_preference
+from alignlake.session import written
 
 
 def raw_checks(df: DataFrame, kind: str) -> DataFrame:
@@ -54,15 +55,18 @@ def validation_report(df: DataFrame, kind: str, error_share: float = 0.05, warni
 def reason_counts(df: DataFrame, reason: str = "reason", good: str = "successful") -> DataFrame:
     """Rows per reason, and each reason's share; the share of ``good`` is the success rate."""
     counts = df.groupBy(reason).agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows").alias("total")).scalar()
+    total = F.sum("rows").over(Window.partitionBy())  # over one row per reason
     return counts.withColumn("share", F.col("rows") / total).withColumn("is_success", F.col(reason) == good)
 
 
 def token_length_stats(df: DataFrame, ids: str = "input_ids", source: str = "text",
                        rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
-    """Length statistics of tokens and text; the median is the higher of two middle values."""
+    """Length statistics of tokens and text; the median is the higher of two middle values.
+
+    The lengths are stored first: they are narrow, and the texts are then read once for all passes.
+    """
     lengths = df.select(F.size(ids).alias("tokens"), F.length(source).alias("characters"))
-    long = lengths.unpivot([], ["tokens", "characters"], "measure", "length")
+    long = written(lengths, "lengths").unpivot([], ["tokens", "characters"], "measure", "length")
     stats = long.groupBy("measure").agg(
         F.count("length").alias("rows"), F.min("length").alias("min"), F.max("length").alias("max"),
         F.avg("length").alias("mean"), F.coalesce(F.stddev_samp("length"), F.lit(0.0)).alias("std"))
@@ -205,7 +209,7 @@ def baseline_comparison(current: DataFrame, baseline: DataFrame) -> DataFrame:
 
     Lower counts as better unless the baseline table says otherwise.
     """
-    joined = current.join(baseline, "metric")
+    joined = ordering.salted_join(current, baseline, ["metric"], ["current"])
     gain = F.try_divide(F.col("baseline") - F.col("current"), F.col("baseline"))
     if "higher_is_better" in baseline.columns:
         gain = F.when(F.coalesce("higher_is_better", F.lit(False)), -gain).otherwise(gain)
@@ -220,13 +224,14 @@ def run_comparison(summaries: DataFrame, runs: Sequence, run: str = "run_id") ->
 def config_difference(config: DataFrame, run: str = "run_id", key: str = "k", value: str = "v") -> DataFrame:
     """Settings whose value differs among the runs that have them; a setting of one run never does."""
     differing = config.groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high")).filter("_low <> _high")
-    return config.join(differing.select(key), key).select(key, run, value)
+    return ordering.salted_join(config, differing.select(key), [key], [run]).select(key, run, value)
 
 
 def fingerprints(config: DataFrame, run: str = "run_id", key: str = "k", value: str = "v") -> DataFrame:
-    """SHA-256 over each run's settings as JSON with sorted keys."""
+    """SHA-256 over each run's settings as JSON with sorted keys; repeated rows of a setting count once."""
+    settings = config.groupBy(run, key).agg(F.max(value).alias(value))
     entries = F.sort_array(F.collect_list(F.struct(F.col(key), F.col(value))))
-    return config.groupBy(run).agg(F.sha2(F.to_json(F.map_from_entries(entries)), 256).alias("fingerprint"))
+    return settings.groupBy(run).agg(F.sha2(F.to_json(F.map_from_entries(entries)), 256).alias("fingerprint"))
 
 
 def matches_fingerprint(prints: DataFrame, reference: str) -> DataFrame:

@@ -17,6 +17,7 @@ RESERVED = ["<pad>", "<unk>", "<|system|>", "<|user|>", "<|assistant|>", "<|end|
 # Texts that start an answer when a chat has no assistant marker, in search order.
 ANSWER_HEADINGS = ["Response:", "Answer:", "Output:", "Assistant:"]
 VOCABULARY_SIZE = 32_000
+LARGEST_LOOKUP = 1_000_000
 MAX_LENGTH = 2048
 _SLOTS = 4096
 
@@ -42,11 +43,18 @@ def vocabulary(df: DataFrame, sources: Sequence[str] = ("text",), size: int = VO
 
 
 def _lookup(vocab: DataFrame) -> DataFrame:
-    """The vocabulary as one value: an array of small maps, addressed by token hash."""
+    """The vocabulary as one value: an array of small maps, addressed by token hash.
+
+    The value reaches every executor, so a vocabulary well beyond ``LARGEST_LOOKUP`` tokens is refused.
+    """
     slots = vocab.sparkSession.range(_SLOTS).select(F.col("id").cast("int").alias("slot"))
     entries = vocab.groupBy(F.pmod(F.xxhash64("token"), F.lit(_SLOTS)).cast("int").alias("slot")).agg(
-        F.collect_list(F.struct("token", "token_id")).alias("entries"))
-    filled = slots.join(entries, "slot", "left").agg(
+        F.count("*").alias("n"), F.collect_list(F.struct("token", "token_id")).alias("entries"))
+    # Slots fill evenly by hash, so the fullest slot tells an oversized vocabulary before it is gathered.
+    fits = F.col("n").isNull() | (F.col("n") <= 3 * LARGEST_LOOKUP // (2 * _SLOTS))
+    checked = entries.withColumn("entries", F.when(fits, F.col("entries")).otherwise(
+        F.raise_error(F.lit(f"vocabulary exceeds {LARGEST_LOOKUP} tokens"))))
+    filled = slots.join(checked, "slot", "left").agg(
         F.sort_array(F.collect_list(F.struct("slot", "entries"))).alias("slots"))
     empty = F.array().cast("array<struct<token:string,token_id:int>>")
     return filled.select(F.transform(

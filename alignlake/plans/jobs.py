@@ -99,6 +99,8 @@ def evaluation_summary(scored: DataFrame, benchmark: DataFrame, trials: DataFram
 
 def evaluation_report(model: str, scored: DataFrame, benchmark: DataFrame, trials: DataFrame) -> DataFrame:
     """One nested report row: statistics, category means and the safety summary."""
+    scored = written(scored.select(*evaluation.DIMENSIONS, "is_harmful", "is_refusal"), "scores")
+    benchmark = written(benchmark.select("category", "turn_1_score", "turn_2_score", "average_score"), "benchmark")
     stats = evaluation_summary(scored, benchmark, trials).agg(F.sort_array(F.collect_list(F.struct(
         "topic", "measure", "rows", "mean", "median", "std", "min", "max"))).alias("statistics"))
     categories = evaluation.category_means(benchmark).agg(F.sort_array(F.collect_list(F.struct(
@@ -111,6 +113,7 @@ def evaluation_report(model: str, scored: DataFrame, benchmark: DataFrame, trial
 
 def arm_report(scored: DataFrame) -> DataFrame:
     """A/B report in one row: means, differences, t-test and effect size."""
+    scored = written(scored.select("arm", *evaluation.DIMENSIONS), "arm-scores")
     test = evaluation.significance(scored).select(F.struct(
         "t_statistic", "p_value", "cohens_d", "significant", "effect_size").alias("test")).scalar()
     return evaluation.compare_arms(scored).withColumn("_test", test).select("*", "_test.*").drop("_test")

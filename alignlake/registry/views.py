@@ -135,7 +135,9 @@ odd_turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) -
 
 
 def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.exchanges_from_turns(conversations(spark, sf_dir), rows_per_bucket=ROWS_PER_BUCKET)
+    """User turns with the answer that follows; stored, because pairing and numbering read them repeatedly."""
+    found = normalize.exchanges_from_turns(conversations(spark, sf_dir), rows_per_bucket=ROWS_PER_BUCKET)
+    return written(found, "exchanges")
 
 
 SQL_EXCHANGES = """turns_next AS (
@@ -159,7 +161,7 @@ PLANTED_PAIR = [
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preference pairs: the rejected answer is the one of the next conversation at the same turn."""
     paired = ordering.with_neighbour(
-        written(exchanges(spark, sf_dir), "exchanges"), "conv_id", ["turn"], {"response": "other"}, rows_per_bucket=ROWS_PER_BUCKET)
+        exchanges(spark, sf_dir), "conv_id", ["turn"], {"response": "other"}, rows_per_bucket=ROWS_PER_BUCKET)
     return paired.withColumn("other", F.coalesce("other", F.lit(""))).selectExpr(*PLANTED_PAIR)
 
 
