@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alignlake.operators.ordering import ROWS_PER_BUCKET, Chunks, attach_group_values, with_index
+from alignlake.session import written
 
 RUN_STAGE = ("run_id", "stage")
 INF = float("inf")
@@ -83,7 +84,7 @@ def convergence_point(df: DataFrame, value: str = "loss", keys: Sequence[str] =
         "start": F.col("idx") - (window - 1),
         "start_seq": F.lag("seq", window - 1).over(chunks.window),
     })
-    home = chunks.finish(looked, keep_chunk=True)
+    home = written(chunks.finish(looked, keep_chunk=True), "rolled")
     judged = attach_group_values(
         home, keys, {"_sum": F.sum("std"), "_count": F.count("std")},
         {"_total": F.sum("_sum"), "_rows": F.sum("_count")})
@@ -156,41 +157,41 @@ def running_best(df: DataFrame, value: str = "loss", keys: Sequence[str] = RUN_S
                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Best value so far, rows since it last improved, and the mean of the last ``recent`` values.
 
-    Chunk minima and where they first occur are carried over chunk borders, so the running state of a
-    long series never passes through one task.
+    Every chunk is walked once on its own; its minimum and the place of its last record then carry over
+    chunk borders, so the running state of a long series never passes through one task.
     """
     sign = -1.0 if higher_is_better else 1.0
     indexed = _series(df, value, keys, order_by, keep_nan=True, rows_per_bucket=rows_per_bucket)
     chunks = Chunks(indexed, keys, before=recent - 1, chunk_rows=rows_per_bucket)
     cost = F.when(F.col("_home"), F.when(F.isnan("value"), F.lit(INF)).otherwise(F.col("value") * sign))
-    rows = chunks.rows.withColumn("_cost", cost).withColumn("_group", F.struct(*keys, "_chunk"))
+    before_row = chunks.window.rowsBetween(Window.unboundedPreceding, -1)
+    up_to_row = chunks.window.rowsBetween(Window.unboundedPreceding, 0)
+    walked = (
+        chunks.rows.withColumn("_cost", cost)
+        .withColumn("_before", F.coalesce(F.min("_cost").over(before_row), F.lit(INF)))
+        .withColumn("_record", F.max(F.when(F.col("_cost") < F.col("_before"), F.col("idx"))).over(up_to_row))
+        .withColumn("recent_avg", F.when(F.col("idx") >= recent - 1, F.avg("value").over(chunks.last(recent))))
+    )
+    rows = written(chunks.finish(walked, keep_chunk=True), "walked").withColumn("_group", F.struct(*keys, "_chunk"))
 
-    per_chunk = rows.filter("_home").groupBy("_group").agg(F.min(F.struct("_cost", "idx")).alias("_least"))
+    per_chunk = rows.groupBy("_group").agg(F.min("_cost").alias("_least"), F.max("_record").alias("_at"))
     earlier = (Window.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy(F.col("_group")["_chunk"])
                .rowsBetween(Window.unboundedPreceding, -1))
     carried = (
-        per_chunk.withColumn("_best_before", F.coalesce(F.min("_least._cost").over(earlier), F.lit(INF)))
-        .withColumn("_improved_at", F.when(F.col("_least._cost") < F.col("_best_before"), F.col("_least.idx")))
+        per_chunk.withColumn("_best_before", F.coalesce(F.min("_least").over(earlier), F.lit(INF)))
+        .withColumn("_improved_at", F.when(F.col("_least") < F.col("_best_before"), F.col("_at")))
         .withColumn("_improved_before", F.max("_improved_at").over(earlier))
         .select("_group", "_best_before", "_improved_before")
     )
-    joined = rows.join(carried, "_group")
-    inside = Window.partitionBy("_group").orderBy("idx")
-    before_row = inside.rowsBetween(Window.unboundedPreceding, -1)
-    up_to_row = inside.rowsBetween(Window.unboundedPreceding, 0)
-    judged = (
-        joined.withColumn("_best", F.least(
-            F.col("_best_before"), F.coalesce(F.min("_cost").over(before_row), F.lit(INF))))
-        .withColumn("improved", F.coalesce(F.col("_cost") < F.col("_best"), F.lit(False)))
-        .withColumn("_last", F.coalesce(
-            F.max(F.when(F.col("improved"), F.col("idx"))).over(up_to_row), F.col("_improved_before"), F.lit(-1)))
-        .withColumn("patience_counter", F.col("idx") - F.col("_last"))
-        .withColumn("best", F.least(F.col("_best"), F.col("_cost")) * sign)
-        .withColumn("recent_avg", F.when(
-            F.col("idx") >= recent - 1, F.avg("value").over(inside.rowsBetween(-(recent - 1), 0))))
-    )
-    return judged.filter("_home").select(
-        *keys, "seq", "value", "idx", "n", "improved", "best", "patience_counter", "recent_avg")
+    local = F.least("_before", "_cost")
+    ahead = local < F.col("_best_before")
+    last = F.coalesce(F.when(ahead, F.col("_record")).otherwise(F.col("_improved_before")), F.lit(-1))
+    judged = rows.join(carried, "_group").withColumns({
+        "improved": F.col("_cost") < F.least("_before", "_best_before"),
+        "best": F.least(F.col("_best_before"), local) * sign,
+        "patience_counter": F.col("idx") - last,
+    })
+    return judged.select(*keys, "seq", "value", "idx", "n", "improved", "best", "patience_counter", "recent_avg")
 
 
 def early_stopping(df: DataFrame, value: str, keys: Sequence[str] = RUN_STAGE, order_by: str = "seq",
@@ -206,7 +207,7 @@ def early_stopping(df: DataFrame, value: str, keys: Sequence[str] = RUN_STAGE, o
     if min_delta <= 0:
         raise ValueError("min_delta must be positive; running_best covers the case without one")
     indexed = _series(df, value, keys, order_by, keep_nan=True, rows_per_bucket=rows_per_bucket)
-    chunked = indexed.withColumn("_chunk", F.floor(F.col("idx") / rows_per_bucket).cast("bigint"))
+    chunked = written(indexed, "indexed").withColumn("_chunk", F.floor(F.col("idx") / rows_per_bucket).cast("bigint"))
     finite = F.when(~not_finite(F.col("value")), F.col("value"))
     bounded = attach_group_values(
         chunked, keys, {"_low": F.min(finite), "_high": F.max(finite)},
