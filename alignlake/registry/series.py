@@ -331,8 +331,10 @@ ORACLES = {
     "training_report": f"""WITH {_rolled('loss')}, {_CONVERGED}, {_STAGE_PERF},
       lr AS (SELECT *, abs(learning_rate - lag(learning_rate) OVER (PARTITION BY run_id, stage ORDER BY seq)) > 1e-8 AS moved
              FROM history),
-      lrs AS (SELECT run_id, stage, count(*) FILTER (moved) AS lr_changes FROM lr GROUP BY run_id, stage),
-      g AS (SELECT run_id, stage, count(*) FILTER (grad_norm > 10) AS exploding_gradients FROM history GROUP BY run_id, stage),
+      lrs AS (SELECT run_id, stage, count(*) FILTER (moved) AS lr_changes FROM lr GROUP BY run_id, stage
+             HAVING count(learning_rate) > 1),
+      g AS (SELECT run_id, stage, count(*) FILTER (grad_norm > 10) AS exploding_gradients FROM history GROUP BY run_id, stage
+            HAVING count(grad_norm) > {W}),
       s AS (SELECT run_id, stage, arg_max(rs, idx) AS final_std, regr_slope(value, idx) AS trend_slope FROM rolled GROUP BY ALL)
       SELECT run_id, stage, perf.rows, round(final_loss, 6) AS final_loss, round(final_std, 6) AS final_std,
         round(trend_slope, 6) AS trend_slope, exploding_gradients, lr_changes, convergence_index
