@@ -134,7 +134,11 @@ def with_labels(df: DataFrame, source: str = "text", tokens: str = "tokens", ids
         inside = F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["stop"]))
         return F.when(inside, token_id).otherwise(MASKED)
 
-    return staged.withColumn(out, F.transform(ids, label)).drop("_spans")
+    # Spans are used twice on purpose: a column used once would be moved into the per-token lambda and
+    # be computed again for every token.
+    masked = F.array_repeat(F.lit(MASKED), F.size(ids))
+    labels = F.when(F.size("_spans") == 0, masked).otherwise(F.transform(ids, label))
+    return staged.withColumn(out, F.when(F.col(ids).isNotNull(), labels)).drop("_spans")
 
 
 def with_user_tokenizer(df: DataFrame, make: Callable[[], Callable[[str], Sequence[int]]], source: str = "text",
@@ -167,8 +171,13 @@ def _collate(df: DataFrame, groups: Sequence[Sequence[tuple[str, int]]]) -> Data
     gathered = df.groupBy("batch_id").agg(
         F.sort_array(F.collect_list(F.struct("batch_pos", *columns))).alias("_rows"))
 
+    def width_of(lead: str) -> Column:
+        return F.array_max(F.transform("_rows", lambda r: F.size(r[lead])))
+
+    gathered = gathered.withColumns({f"_width_{group[0][0]}": width_of(group[0][0]) for group in groups})
+
     def padded(column: str, lead: str, fill: int) -> Column:
-        width = F.array_max(F.transform("_rows", lambda r: F.size(r[lead])))
+        width = F.col(f"_width_{lead}")
         return F.transform("_rows", lambda r: F.concat(
             r[column], F.array_repeat(F.lit(fill), width - F.size(r[column]))))
 

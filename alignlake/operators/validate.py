@@ -22,8 +22,7 @@ def _at(code: str, index: Column) -> Column:
 def _message_warnings(messages: Column, raw: bool) -> Column:
     """Warning codes with message positions. Raw checks also report short and unsafe contents."""
 
-    def notes(m: Column, i: Column) -> Column:
-        content = text.strip(m["content"])
+    def notes(content: Column, i: Column) -> Column:
         size = F.length(content)
         by_size = F.when(size == 0, _at("empty_content", i))
         if raw:
@@ -32,8 +31,9 @@ def _message_warnings(messages: Column, raw: bool) -> Column:
         unsafe = F.when(patterns.is_harmful(content), _at("harmful_content", i)) if raw else F.lit(None).cast("string")
         return _list(by_size, unsafe)
 
+    stripped = F.transform(messages, lambda m: text.strip(m["content"]))
     no_answer = F.when(~chat.has_assistant(messages), F.lit("no_assistant"))
-    return F.concat(F.flatten(F.transform(messages, notes)), _list(no_answer))
+    return F.concat(F.flatten(F.transform(stripped, notes)), _list(no_answer))
 
 
 def check_messages(df: DataFrame, messages: str = "messages") -> DataFrame:

@@ -10,7 +10,7 @@ from alignlake.registry import views as V
 from alignlake.registry.preferences import pref_pairs
 from alignlake.session import written
 
-LENGTH = 256
+LENGTH = tokens.MAX_LENGTH
 BATCH = 8
 B = V.ROWS_PER_BUCKET
 
@@ -44,7 +44,7 @@ def token_counts(spark, sf):
 
 def encode_docs(spark, sf):
     docs = V.documents(spark, sf).select("doc_id", "text")
-    encoded = tokens.tokenized(docs, tokens.vocabulary(docs, size=5000), max_length=tokens.MAX_LENGTH)
+    encoded = tokens.tokenized(docs, tokens.vocabulary(docs), max_length=tokens.MAX_LENGTH)
     return encoded.select("doc_id", F.size("input_ids").alias("token_count"), _ids("input_ids").alias("ids"),
                           F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m).alias("mask_sum"))
 
@@ -57,7 +57,7 @@ def heading_loss_mask(spark, sf):
     docs = V.documents(spark, sf).selectExpr(
         "doc_id", """CASE doc_id % 4 WHEN 0 THEN concat('Question? Answer: ', text)
           WHEN 1 THEN concat('Output: x. Response: ', text) WHEN 2 THEN concat('<|user|> ', text) ELSE text END AS text""")
-    encoded = tokens.tokenized(docs, tokens.vocabulary(docs, size=5000), max_length=LENGTH)
+    encoded = tokens.tokenized(docs, tokens.vocabulary(docs), max_length=LENGTH)
     labels = tokens.with_labels(encoded)
     kept = F.filter("labels", lambda v: v != tokens.MASKED)
     return labels.select("doc_id", F.size("labels").alias("token_count"), F.size(kept).alias("kept"),
@@ -226,14 +226,14 @@ _TEXT_NOTE = "CASE WHEN {0} = '' THEN 'blank_{1}' WHEN {2} THEN 'harmful_{1}' EN
 ORACLES = {
     "vocab_topk": f"WITH {_vocab('documents', 500)} SELECT token, token_id FROM vocab",
     "token_counts": f"""WITH {_vocab('documents', 1)} SELECT c AS occurrences, count(*) AS tokens FROM words GROUP BY c""",
-    "encode_docs": f"""WITH {_vocab('documents', 5000)}, {_encoded('e', 'documents', 'doc_id', 'text', tokens.MAX_LENGTH)}
+    "encode_docs": f"""WITH {_vocab('documents', tokens.VOCABULARY_SIZE)}, {_encoded('e', 'documents', 'doc_id', 'text', tokens.MAX_LENGTH)}
       SELECT d.doc_id, CAST(count(e.pos) AS INT) AS token_count, CAST(count(e.pos) AS INT) AS mask_sum,
         coalesce(string_agg(e.token_id, ' ' ORDER BY e.pos), '') AS ids
       FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id""",
     "chat_loss_mask": f"WITH {_CHAT_TOKENS} SELECT conv_id, CAST(n AS INT) AS token_count, ids, labels FROM chat_rows",
     "heading_loss_mask": f"""WITH docs AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat('Question? Answer: ', text)
           WHEN 1 THEN concat('Output: x. Response: ', text) WHEN 2 THEN concat('<|user|> ', text) ELSE text END AS text
-        FROM documents), {_vocab('docs', 5000)}, {_encoded('e', 'docs', 'doc_id', 'text', LENGTH)},
+        FROM documents), {_vocab('docs', tokens.VOCABULARY_SIZE)}, {_encoded('e', 'docs', 'doc_id', 'text', LENGTH)},
       nxt AS (SELECT *, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS nt FROM e),
       starts AS (SELECT doc_id, count(*) AS n, coalesce(
           min(pos) FILTER (token = 'Response' AND nt = ':') + 2, min(pos) FILTER (token = 'Answer' AND nt = ':') + 2,
