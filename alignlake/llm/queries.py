@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alignlake.llm import quality_rules
+from alignlake.llm import quality_rules, setsketch, token_files
+
+
+TOKENIZERS = "/opt/tokenizers"
+END_OF_DOCUMENT = 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,8 +44,32 @@ FROM v""".replace("STOP", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS))
     "SPACES", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
-ORACLES = {"op1_quality_rules": SQL_OP1}
+def op5_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = token_files.write_tokens(docs, f"{tokenizers}/word_bpe_49k.json", END_OF_DOCUMENT)
+    return token_files.read_tokens(manifest, token_files.ids_crc32, "ids_crc32 bigint")
+
+
+def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+
+
+SQL_OP8 = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  k AS (SELECT doc_id, hash(g) AS g FROM s),
+  p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM k x JOIN k y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+  e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+  r AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.seen),
+  c AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_token_files, op8_setsketch_near_dedup)}
+ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8}
 
 
 def pipeline_queries() -> dict:
