@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alignlake.llm import quality_rules, setsketch, token_files
+from alignlake.llm import personal_data, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -44,6 +44,15 @@ FROM v""".replace("STOP", ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS))
     "SPACES", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)")
 
 
+def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_ledger.digest(secret_ledger.incremental_scan(docs))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = token_files.write_tokens(docs, f"{tokenizers}/word_bpe_49k.json", END_OF_DOCUMENT)
@@ -68,7 +77,7 @@ SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_token_files, op8_setsketch_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup)}
 ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8}
 
 
