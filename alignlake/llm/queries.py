@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alignlake.llm import personal_data, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -77,7 +77,11 @@ SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup)}
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup, op10_page_text)}
 ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8}
 
 
