@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from alignlake.llm import page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import decontaminate, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -77,12 +78,33 @@ SELECT c.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, c
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id"""
 
 
+def op9_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"), "kept")
+
+
+SQL_OP9 = r"""WITH b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark),
+  d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+  i AS (SELECT item_id, len(w) AS n, unnest(w) AS t, unnest(range(len(w))) AS q FROM b WHERE len(w) >= 8),
+  x AS (SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS p FROM d),
+  m AS (SELECT doc_id, item_id, p - q AS diagonal, q, least(24, n) AS win, CASE WHEN n >= 12 THEN least(24, n) // 8 ELSE 0 END AS allowed
+    FROM x JOIN i ON x.t = i.t),
+  s AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, diagonal) AS c FROM m),
+  k AS (SELECT doc_id, item_id, win, allowed,
+      count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY q RANGE BETWEEN win - 1 PRECEDING AND CURRENT ROW) AS same
+    FROM s WHERE c >= win - allowed),
+  f AS (SELECT DISTINCT doc_id, item_id FROM k WHERE same >= win - allowed),
+  g AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS items FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(g.n, 0) AS n_items, coalesce(g.items, '') AS items, g.n IS NULL AS kept FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id"""
+
+
 def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup, op10_page_text)}
-ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
+ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
 
 
 def pipeline_queries() -> dict:
