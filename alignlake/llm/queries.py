@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignlake.llm import decontaminate, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import decontaminate, line_dedup, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -60,6 +60,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZE
     return token_files.read_tokens(manifest, token_files.ids_crc32, "ids_crc32 bigint")
 
 
+def op6_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+SQL_OP6 = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+  w AS (SELECT doc_id, pos, x, lead(x) OVER o AS y, lead(pos) OVER o AS stop FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+    WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+  r AS (SELECT doc_id, pos, stop FROM w WHERE stop IS NOT NULL QUALIFY row_number() OVER (PARTITION BY x, y ORDER BY doc_id, pos) > 1),
+  g AS (SELECT DISTINCT doc_id, unnest(range(pos, stop + 1)) AS pos FROM r),
+  k AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS text, count(g.pos) AS n
+    FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(k.n, 0) AS n_deleted
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id"""
+
+
 def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
 
@@ -103,8 +118,8 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
-ORACLES = {"op1_quality_rules": SQL_OP1, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op6_line_winnowing, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
+ORACLES = {"op1_quality_rules": SQL_OP1, "op6_line_winnowing": SQL_OP6, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
 
 
 def pipeline_queries() -> dict:
