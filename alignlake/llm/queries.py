@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignlake.llm import decontaminate, line_dedup, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import decontaminate, language_id, line_dedup, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -49,6 +49,13 @@ def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    names, model = language_id.fitted(docs, where=~language_id.held_out())
+    return language_id.predict(docs.select("doc_id", "text"), names, model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_ledger.digest(secret_ledger.incremental_scan(docs))
@@ -118,7 +125,7 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op4_secret_ledger, op5_token_files, op6_line_winnowing, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op3_byte_gru_language, op4_secret_ledger, op5_token_files, op6_line_winnowing, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
 ORACLES = {"op1_quality_rules": SQL_OP1, "op6_line_winnowing": SQL_OP6, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
 
 
