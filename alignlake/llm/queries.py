@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignlake.llm import decontaminate, language_id, line_dedup, page_text, personal_data, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import decontaminate, language_id, line_dedup, page_text, personal_data, piece_codec, quality_rules, secret_ledger, setsketch, token_files
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -82,6 +82,14 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id"""
 
 
+def op7_piece_codec(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_codec.with_pieces(docs, f"{tokenizers}/piece_bpe_32k.model")
+    return coded.select(
+        "doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.col("decoded").eqNullSafe(F.translate("text", "\u2581", " ")).alias("round_trip"))
+
+
 def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
 
@@ -125,7 +133,7 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op3_byte_gru_language, op4_secret_ledger, op5_token_files, op6_line_winnowing, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op3_byte_gru_language, op4_secret_ledger, op5_token_files, op6_line_winnowing, op7_piece_codec, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
 ORACLES = {"op1_quality_rules": SQL_OP1, "op6_line_winnowing": SQL_OP6, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
 
 
