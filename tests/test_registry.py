@@ -3,13 +3,15 @@
 import pytest
 
 import __spark_entry__ as contract
+from alignlake import registry
 from alignlake.registry.check import difference
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracles()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):
