@@ -19,9 +19,6 @@ PROMPT_FIELDS = ["prompt", "question", "input"]
 CHOSEN_FIELDS = ["chosen", "response_chosen", "preferred"]
 REJECTED_FIELDS = ["rejected", "response_rejected", "not_preferred"]
 
-# Fixed value: most turns gathered into one row; longer conversations become several rows.
-MAX_TURNS_PER_ROW = 10_000
-
 
 def present(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names if n in df.columns]
@@ -74,28 +71,33 @@ def with_preference(df: DataFrame) -> DataFrame:
     })
 
 
-def messages_from_turns(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
-                        content: str = "text", max_turns: int = MAX_TURNS_PER_ROW) -> DataFrame:
-    """One row per conversation with its messages in turn order.
-
-    The longest conversation is measured first. Beyond ``max_turns`` the turns are numbered and
-    conversations become consecutive ``segment`` rows, so no task gathers more than that and no turn
-    is lost.
-    """
-    longest = df.groupBy(conversation).count().agg(F.max("count")).first()[0] or 0
-    if longest <= max_turns:
-        placed = df.withColumn("segment", F.lit(0).cast("bigint"))
-    else:
-        numbered = ordering.with_index(df, turn, [conversation], name="_turn_idx", rows_per_bucket=max_turns)
-        placed = numbered.withColumn("segment", F.floor(F.col("_turn_idx") / max_turns).cast("bigint"))
+def _gathered(df: DataFrame, keys: Sequence[str], turn: str, role: str, content: str) -> DataFrame:
     entry = F.struct(F.col(turn).alias("t"), F.col(role).alias("role"), F.col(content).alias("content"))
-    gathered = placed.groupBy(conversation, "segment").agg(F.sort_array(F.collect_list(entry)).alias("_turns"))
+    gathered = df.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_turns"))
     return gathered.select(
-        conversation, "segment",
+        *keys,
         F.transform("_turns", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
         .alias("messages"))
 
 
+def messages_from_turns(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
+                        content: str = "text") -> DataFrame:
+    """One row per conversation with its messages in turn order, however long the conversation is.
+
+    A row holds a whole conversation, so verdicts about it are never made on a fragment. Callers that want
+    bounded rows ask for :func:`segments_from_turns`.
+    """
+    return _gathered(df, [conversation], turn, role, content)
+
+
+def segments_from_turns(df: DataFrame, max_turns: int, conversation: str = "conv_id", turn: str = "turn",
+                        role: str = "role", content: str = "text") -> DataFrame:
+    """Consecutive pieces of at most ``max_turns`` turns per row, numbered by ``segment``; no turn is lost."""
+    numbered = ordering.with_index(df, turn, [conversation], name="_turn_idx", rows_per_bucket=max_turns)
+    placed = numbered.withColumn("segment", F.floor(F.col("_turn_idx") / max_turns).cast("bigint"))
+    return _gathered(placed, [conversation, "segment"], turn, role, content)
+
+
 def exchanges_from_turns(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
                          content: str = "text", rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
     """(prompt, response) rows: every user turn that an assistant turn follows directly."""
@@ -126,7 +128,7 @@ def rendered_pairs(df: DataFrame) -> DataFrame:
     )
 
 
-def first_prompts(df: DataFrame, order_by: Sequence[str | Column], limit: int | None = 1000) -> DataFrame:
+def first_prompts(df: DataFrame, order_by: Sequence[str | Column], limit: int | None = None) -> DataFrame:
     """First user turn per row, from the rendered text when there is one, else from the messages.
 
     The result has one row per usable prompt, ordered and cut at ``limit`` when that is set.

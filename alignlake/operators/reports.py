@@ -85,12 +85,11 @@ def text_quality_report(df: DataFrame, sources: Sequence[str] = ("text",)) -> Da
         *[F.count_if(quality.band(score) == name).alias(f"{name}_rows") for name in quality.BANDS])
 
 
-# Column names that give a table's kind away, and the rows a health check looks at.
+# Column names that give a table's kind away.
 KIND_COLUMNS = {
     "chat": ["messages", "conversations", "instruction", "input", "question"],
     "preference": ["prompt", "chosen", "rejected", "question", "response_a", "response_b"],
 }
-HEALTH_ROWS = 3
 
 
 def detect_kind(df: DataFrame) -> str:
@@ -98,10 +97,13 @@ def detect_kind(df: DataFrame) -> str:
     return next((kind for kind, fields in KIND_COLUMNS.items() if names & set(fields)), "unknown")
 
 
-def health_report(df: DataFrame, order_by: Sequence[str], small: int = 100) -> DataFrame:
-    """Kind, issues of the first rows and advice, as (position, topic, finding) rows."""
+def health_report(df: DataFrame, small: int = 100) -> DataFrame:
+    """Kind, issues of all rows and advice, in one row; a caller who wants a sample passes one.
+
+    ``findings`` counts every issue once, as ``issue:rows`` in alphabetical order.
+    """
     kind = detect_kind(df)
-    sample = head(df, order_by, HEALTH_ROWS)
+    sample = df
     if kind == "chat":
         sample = with_messages(sample, "_messages")
         whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
@@ -113,13 +115,13 @@ def health_report(df: DataFrame, order_by: Sequence[str], small: int = 100) -> D
         issue = F.when(missing, "missing_fields").when(F.col("chosen") == F.col("rejected"), "identical_responses")
     else:
         issue = F.lit(None).cast("string")
-    listed = sample.select(F.struct(*order_by).alias("_at"), issue.alias("issue"))
+    listed = sample.select(issue.alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
     found = listed.agg(
-        F.count("*").alias("checked"), F.count("issue").alias("issues"),
-        F.array_join(F.transform(
-            F.sort_array(F.collect_list(F.struct("_at", "issue"))), lambda e: F.coalesce(e["issue"], F.lit("ok"))),
-            ",").alias("findings"))
-    size = df.limit(small).agg(F.count("*").alias("n")).scalar()
+        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
+        F.coalesce(F.sum(F.when(F.col("issue").isNotNull(), F.col("n"))), F.lit(0)).alias("issues"),
+        F.array_join(F.array_sort(F.collect_list(F.when(
+            F.col("issue").isNotNull(), F.concat_ws(":", "issue", F.col("n").cast("string"))))), ",").alias("findings"))
+    size = F.col("checked")
     advice = F.array_compact(F.array(
         F.when(F.col("checked") == 0, F.lit("check_loading")),
         F.when(F.col("issues") > 0, F.lit("review_quality")),
@@ -257,11 +259,6 @@ def run_rollup(stages: DataFrame, run: str = "run_id", seconds: str = "duration_
         F.sum("metrics_count").alias("metrics_count"))
 
 
-def evaluation_documents(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Summary rows of several topics as one JSON text per key."""
-    return rows.groupBy(*keys).agg(F.to_json(F.sort_array(F.collect_list(F.struct("measure", "mean")))).alias("document"))
-
-
 def text_lengths(df: DataFrame, source: str = "text", ids: str | None = None) -> DataFrame:
     """Mean, longest and shortest text, and the same for token counts when there are ids."""
     size = F.length(source)

@@ -49,17 +49,18 @@ def with_shuffle_position(df: DataFrame, row_id: str, seed: int = 42, out: str =
 
 
 def train_eval_split(df: DataFrame, row_id: str, order_by: str, train_share: float = 0.8, seed: int = 42,
-                     exact: bool = False, small: int = 100,
-                     rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``split``. Fewer than ``small`` rows split at a position, larger tables by seeded hash.
+                     mode: str = "hash", rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``split`` by the rule that the caller names; it never depends on the number of rows.
 
-    The hash split needs no shuffle and its sizes are close to the share; ``exact`` ranks the hashes
-    and gives the evaluation side exactly the rounded-up rest.
+    ``hash`` needs no shuffle and its sizes are close to the share; ``exact`` ranks the hashes
+    and gives the evaluation side exactly the rounded-up rest; ``position`` cuts the ordered table once.
     """
-    if df.limit(small).count() < small:
+    if mode not in ("hash", "exact", "position"):
+        raise ValueError(f"unknown split mode: {mode}")
+    if mode == "position":
         indexed = ordering.with_index(df, order_by, name="_row", total="_rows", rows_per_bucket=rows_per_bucket)
         train = F.col("_row") < F.floor(F.col("_rows") * F.lit(train_share))
-    elif exact:
+    elif mode == "exact":
         hashed = df.withColumn("_hash", hash_number(F.col(row_id), seed))
         indexed = ordering.with_index(hashed, "_hash", name="_row", total="_rows",
                                       rows_per_bucket=rows_per_bucket).drop("_hash")

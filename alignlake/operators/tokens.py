@@ -16,9 +16,7 @@ PAD, UNKNOWN, MASKED = 0, 1, -100
 RESERVED = ["<pad>", "<unk>", "<|system|>", "<|user|>", "<|assistant|>", "<|end|>"]
 # Texts that start an answer when a chat has no assistant marker, in search order.
 ANSWER_HEADINGS = ["Response:", "Answer:", "Output:", "Assistant:"]
-VOCABULARY_SIZE = 32_000
 LARGEST_LOOKUP = 1_000_000
-MAX_LENGTH = 2048
 _SLOTS = 4096
 
 
@@ -29,7 +27,7 @@ def token_counts(df: DataFrame, sources: Sequence[str] = ("text",)) -> DataFrame
     return found.groupBy("token").agg(F.count("*").alias("occurrences"))
 
 
-def vocabulary(df: DataFrame, sources: Sequence[str] = ("text",), size: int = VOCABULARY_SIZE) -> DataFrame:
+def vocabulary(df: DataFrame, sources: Sequence[str] = ("text",), *, size: int) -> DataFrame:
     """(token, token_id): the reserved tokens and the ``size`` most frequent corpus tokens.
 
     ``size`` bounds everything after the count, so numbering in one task and shipping the table to
@@ -78,10 +76,11 @@ def encode(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "
 
 
 def tokenized(df: DataFrame, vocab: DataFrame, source: str = "text", prefix: str = "",
-              max_length: int = MAX_LENGTH) -> DataFrame:
-    """Add ``tokens``, ``input_ids`` and ``attention_mask``, cut at ``max_length`` and not padded."""
+              max_length: int | None = None) -> DataFrame:
+    """Add ``tokens``, ``input_ids`` and ``attention_mask``, cut at ``max_length`` if one is given, and not padded."""
     tokens, ids = f"{prefix}tokens", f"{prefix}input_ids"
-    cut = df.withColumn(tokens, F.slice(text.tokens(F.col(source)), 1, max_length))
+    found = text.tokens(F.col(source))
+    cut = df.withColumn(tokens, found if max_length is None else F.slice(found, 1, max_length))
     return encode(cut, vocab, tokens, ids).withColumn(
         f"{prefix}attention_mask", F.array_repeat(F.lit(1), F.size(tokens)))
 
@@ -142,14 +141,19 @@ def with_labels(df: DataFrame, source: str = "text", tokens: str = "tokens", ids
 
 
 def with_user_tokenizer(df: DataFrame, make: Callable[[], Callable[[str], Sequence[int]]], source: str = "text",
-                        out: str = "input_ids", max_length: int = MAX_LENGTH) -> DataFrame:
-    """Add ids from a user's tokenizer. ``make`` is called once per worker, texts arrive in batches."""
+                        out: str = "input_ids", max_length: int | None = None) -> DataFrame:
+    """Add ids from a user's tokenizer, whole unless ``max_length`` is given.
+
+    ``make`` is called once per task and returns a function of a list of texts, which arrive in batches.
+    """
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = make()
         for texts in batches:
-            yield texts.map(lambda t: None if t is None else list(tokenizer(t))[:max_length])
+            given = texts.notna()
+            ids = iter(tokenizer(texts[given].tolist()))
+            yield pd.Series([list(next(ids))[:max_length] if g else None for g in given], index=texts.index)
 
     return df.withColumn(out, run(F.col(source)))
 

@@ -1,4 +1,4 @@
-"""Whole jobs built from the operators. Every function returns lazily composed tables."""
+"""Whole jobs built from the operators. Reports and checks run Spark jobs while they are built; results are tables."""
 
 from __future__ import annotations
 
@@ -7,19 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alignlake.functions import patterns
 from alignlake.operators import evaluation, normalize, quality, reports, sampling, telemetry, tokens, validate
 from alignlake.session import written
 
 
-def process_chats(df: DataFrame, vocab: DataFrame, max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+def process_chats(df: DataFrame, vocab: DataFrame, max_length: int) -> DataFrame:
     """Chat rows with rendered text, ids, mask, labels and a reject reason. No row is dropped yet."""
     text = normalize.rendered(normalize.with_messages(df)).withColumnRenamed("length", "original_length")
     encoded = tokens.with_labels(tokens.tokenized(text, vocab, max_length=max_length))
     return validate.chat_reason(encoded, max_length).withColumn("token_count", F.size("input_ids")).drop("tokens")
 
 
-def process_preferences(df: DataFrame, vocab: DataFrame, max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+def process_preferences(df: DataFrame, vocab: DataFrame, max_length: int) -> DataFrame:
     """Preference rows with both rendered chats, their ids and masks, and a reject reason."""
     encoded = normalize.rendered_pairs(normalize.with_preference(df))
     for side in ("chosen", "rejected"):
@@ -28,19 +27,21 @@ def process_preferences(df: DataFrame, vocab: DataFrame, max_length: int = token
     return validate.preference_reason(encoded, max_length)
 
 
-def vocabulary_of(df: DataFrame, kind: str, size: int = tokens.VOCABULARY_SIZE) -> DataFrame:
-    """Vocabulary of the rendered texts of a table."""
+def vocabulary_of(df: DataFrame, kind: str, size: int) -> DataFrame:
+    """Vocabulary of the rendered texts of a table, stored so that every use reads it instead of counting again."""
     if kind == "chat":
-        return tokens.vocabulary(normalize.rendered(normalize.with_messages(df)), size=size)
+        return written(tokens.vocabulary(normalize.rendered(normalize.with_messages(df)), size=size), "vocabulary")
     pairs = normalize.rendered_pairs(normalize.with_preference(df))
-    return tokens.vocabulary(pairs, ("chosen_text", "rejected_text"), size=size)
+    return written(tokens.vocabulary(pairs, ("chosen_text", "rejected_text"), size=size), "vocabulary")
 
 
-def prepare_table(df: DataFrame, kind: str, order_by: str, vocab: DataFrame | None = None, check_raw: bool = True,
-                  filter_content: bool = True, check_processed: bool = True, max_rows: int = 0,
-                  max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+def prepare_table(df: DataFrame, kind: str, order_by: str, max_length: int, vocab: DataFrame | int,
+                  check_raw: bool = True, filter_content: bool = True, check_processed: bool = True,
+                  max_rows: int = 0) -> DataFrame:
     """Cap, validate, filter, process and check a raw table; raises when a check fails.
 
+    ``vocab`` is a vocabulary or the size of the one that is counted from the table.
+
     The two checks are aggregates of which one row reaches the driver. A batch result is stored before
     its check, so tokenizing runs once; streams skip that check.
     """
@@ -51,7 +52,7 @@ def prepare_table(df: DataFrame, kind: str, order_by: str, vocab: DataFrame | No
         raise ValueError("raw table validation failed")
     if filter_content:
         rows = validate.filter_content(rows, kind)
-    words = vocab if vocab is not None else vocabulary_of(rows, kind)
+    words = vocabulary_of(rows, kind, vocab) if isinstance(vocab, int) else vocab
     process = process_chats if kind == "chat" else process_preferences
     done = validate.successful(process(rows, words, max_length))
     if check_processed and not done.isStreaming:
@@ -68,16 +69,16 @@ def prepare_simple(df: DataFrame, max_length: int = 512) -> tuple[DataFrame, Dat
     return judged.filter(F.col("reason") == "valid_examples").drop("reason"), counts
 
 
-def preference_training_split(df: DataFrame, row_id: str, vocab: DataFrame | None = None,
-                              max_length: int = tokens.MAX_LENGTH, exact: bool = False) -> DataFrame:
-    """Processed preference rows with their train or eval side."""
-    words = vocab if vocab is not None else vocabulary_of(df, "preference")
+def preference_training_split(df: DataFrame, row_id: str, max_length: int, vocab: DataFrame | int,
+                              mode: str = "hash") -> DataFrame:
+    """Processed preference rows with their train or eval side; ``vocab`` as in :func:`prepare_table`."""
+    words = vocabulary_of(df, "preference", vocab) if isinstance(vocab, int) else vocab
     done = written(validate.successful(process_preferences(df, words, max_length)), "preference-rows")
-    return sampling.train_eval_split(done, row_id, row_id, exact=exact)
+    return sampling.train_eval_split(done, row_id, row_id, mode=mode)
 
 
-def prompt_set(df: DataFrame, order_by: Sequence[str | Column], vocab: DataFrame, limit: int = 1000,
-               max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+def prompt_set(df: DataFrame, order_by: Sequence[str | Column], vocab: DataFrame, max_length: int,
+               limit: int | None = None) -> DataFrame:
     """First prompts, tokenized to half the sequence length so the answer has room."""
     prompts = normalize.first_prompts(df, order_by, limit)
     return tokens.tokenized(prompts, vocab, "prompt", max_length=max_length // 2).drop("tokens")
@@ -135,11 +136,6 @@ def training_report(history: DataFrame, keys: Sequence[str] = telemetry.RUN_STAG
     return report
 
 
-def safe_responses(df: DataFrame, response: str = "response") -> DataFrame:
-    """Responses that pass the publishing checks, with the numbers of failed checks on the others kept out."""
-    return df.filter(F.size(patterns.publishing_issues(F.col(response))) == 0)
-
-
 def quality_report(df: DataFrame, messages: str = "messages") -> DataFrame:
     """Chats per quality band with their mean score and mean rendered length."""
     scored = quality.with_chat_quality(normalize.rendered(df, messages), messages)

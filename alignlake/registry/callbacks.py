@@ -28,7 +28,7 @@ def user_metric(spark, sf):
 
 def user_tokenizer(spark, sf):
     docs = V.documents(spark, sf).select("doc_id", "text")
-    encoded = tokens.with_user_tokenizer(docs, lambda: (lambda t: t.encode("utf-8")), max_length=tokens.MAX_LENGTH)
+    encoded = tokens.with_user_tokenizer(docs, lambda: (lambda texts: [t.encode("utf-8") for t in texts]))
     return encoded.select("doc_id", F.size("input_ids").alias("token_count"))
 
 
@@ -38,6 +38,6 @@ ORACLES = {
     "user_row_filter": "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en' AND n_chars > 500",
     "user_metric": f"""WITH {V.SQL_REWARDS} SELECT run_id,
       round(count(*) FILTER (chosen_reward > rejected_reward) / count(*), 6) AS accuracy FROM rewards GROUP BY run_id""",
-    "user_tokenizer": f"""SELECT doc_id, CAST(least(octet_length(encode(text)), {tokens.MAX_LENGTH}) AS INT) AS token_count
+    "user_tokenizer": """SELECT doc_id, CAST(octet_length(encode(text)) AS INT) AS token_count
       FROM documents""",
 }

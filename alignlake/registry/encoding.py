@@ -10,7 +10,7 @@ from alignlake.registry import views as V
 from alignlake.registry.preferences import pref_pairs
 from alignlake.session import written
 
-LENGTH = tokens.MAX_LENGTH
+LENGTH, VOCABULARY_SIZE = 2048, 32_000
 BATCH = 8
 B = V.ROWS_PER_BUCKET
 
@@ -26,12 +26,16 @@ def _matrix(column: str):
 
 def _chats(spark, sf):
     df = V.chats(spark, sf)
-    return jobs.process_chats(df, jobs.vocabulary_of(df, "chat"), LENGTH)
+    return jobs.process_chats(df, jobs.vocabulary_of(df, "chat", VOCABULARY_SIZE), LENGTH)
 
 
 def _preferences(spark, sf):
     df = V.pairs(spark, sf)
-    return jobs.process_preferences(df, jobs.vocabulary_of(df, "preference"), LENGTH)
+    return jobs.process_preferences(df, jobs.vocabulary_of(df, "preference", VOCABULARY_SIZE), LENGTH)
+
+
+def _vocabulary(df):
+    return written(tokens.vocabulary(df, size=VOCABULARY_SIZE), "vocabulary")
 
 
 def vocab_topk(spark, sf):
@@ -44,7 +48,7 @@ def token_counts(spark, sf):
 
 def encode_docs(spark, sf):
     docs = V.documents(spark, sf).select("doc_id", "text")
-    encoded = tokens.tokenized(docs, tokens.vocabulary(docs), max_length=tokens.MAX_LENGTH)
+    encoded = tokens.tokenized(docs, _vocabulary(docs))
     return encoded.select("doc_id", F.size("input_ids").alias("token_count"), _ids("input_ids").alias("ids"),
                           F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m).alias("mask_sum"))
 
@@ -57,7 +61,7 @@ def heading_loss_mask(spark, sf):
     docs = V.documents(spark, sf).selectExpr(
         "doc_id", """CASE doc_id % 4 WHEN 0 THEN concat('Question? Answer: ', text)
           WHEN 1 THEN concat('Output: x. Response: ', text) WHEN 2 THEN concat('<|user|> ', text) ELSE text END AS text""")
-    encoded = tokens.tokenized(docs, tokens.vocabulary(docs), max_length=LENGTH)
+    encoded = tokens.tokenized(docs, _vocabulary(docs))
     labels = tokens.with_labels(encoded)
     kept = F.filter("labels", lambda v: v != tokens.MASKED)
     return labels.select("doc_id", F.size("labels").alias("token_count"), F.size(kept).alias("kept"),
@@ -66,7 +70,7 @@ def heading_loss_mask(spark, sf):
 
 def chat_reject_reasons(spark, sf):
     df = V.odd_chats(spark, sf)
-    return V.rounded(reports.reason_counts(jobs.process_chats(df, jobs.vocabulary_of(df, "chat"), LENGTH)))
+    return V.rounded(reports.reason_counts(jobs.process_chats(df, jobs.vocabulary_of(df, "chat", VOCABULARY_SIZE), LENGTH)))
 
 
 def processed_pairs(spark, sf):
@@ -141,7 +145,7 @@ def sampled_format_gate(spark, sf):
 
 
 def prepared_chats(spark, sf):
-    done = jobs.prepare_table(V.chats(spark, sf), "chat", "conv_id", max_length=LENGTH)
+    done = jobs.prepare_table(V.chats(spark, sf), "chat", "conv_id", LENGTH, VOCABULARY_SIZE)
     return done.select("conv_id", "original_length", "token_count")
 
 
@@ -151,12 +155,12 @@ def prepared_simple(spark, sf):
 
 
 def preference_training_split(spark, sf):
-    return jobs.preference_training_split(V.pairs(spark, sf), "pair_id", max_length=LENGTH).select("pair_id", "split")
+    return jobs.preference_training_split(V.pairs(spark, sf), "pair_id", LENGTH, VOCABULARY_SIZE).select("pair_id", "split")
 
 
 def prompt_set(spark, sf):
     chats = normalize.rendered(V.chats(spark, sf)).select("conv_id", "text")
-    found = jobs.prompt_set(chats, ["conv_id"], tokens.vocabulary(chats), max_length=LENGTH)
+    found = jobs.prompt_set(chats, ["conv_id"], _vocabulary(chats), LENGTH)
     return found.select("conv_id", "prompt", _ids("input_ids").alias("ids"))
 
 
@@ -184,18 +188,18 @@ def _vocab(source: str, size: int, columns: tuple[str, ...] = ("text",)) -> str:
       UNION ALL SELECT * FROM (VALUES {reserved}))"""
 
 
-def _encoded(name: str, source: str, key: str, column: str, length: int) -> str:
-    """One row per kept token: key, pos (from 0), token, token_id."""
+def _encoded(name: str, source: str, key: str, column: str, length: int | None = None) -> str:
+    """One row per token, or per kept token: key, pos (from 0), token, token_id."""
     return f"""{name}_split AS (SELECT {key}, {V.sql_tokens(column)} AS toks FROM {source}),
     {name} AS (
       SELECT s.{key}, s.pos, s.token, coalesce(v.token_id, 1) AS token_id
       FROM (SELECT {key}, unnest(toks) AS token, unnest(range(len(toks))) AS pos FROM {name}_split) s
-      LEFT JOIN vocab v ON s.token = v.token WHERE s.pos < {length})"""
+      LEFT JOIN vocab v ON s.token = v.token{f' WHERE s.pos < {length}' if length else ''})"""
 
 
 _SPANS = """last_value(CASE WHEN token IN ('<|assistant|>', '<|end|>') THEN token END IGNORE NULLS)
   OVER (PARTITION BY {key} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-_CHAT_TOKENS = f"""{V.SQL_CHATS}, {_vocab('chats', tokens.VOCABULARY_SIZE)},
+_CHAT_TOKENS = f"""{V.SQL_CHATS}, {_vocab('chats', VOCABULARY_SIZE)},
   {_encoded('ct', 'chats', 'conv_id', 'text', LENGTH)},
   labelled AS (SELECT conv_id, pos, token_id, CASE WHEN marked THEN
         CASE WHEN token <> '<|end|>' AND before = '<|assistant|>' THEN token_id ELSE -100 END
@@ -208,7 +212,7 @@ _CHAT_TOKENS = f"""{V.SQL_CHATS}, {_vocab('chats', tokens.VOCABULARY_SIZE)},
 _PAIR_TEXTS = f"""{V.SQL_PAIRS},
   texts AS (SELECT *, {V.sql_pair('prompt', 'chosen')} AS chosen_text, {V.sql_pair('prompt', 'rejected')} AS rejected_text
     FROM pairs)"""
-_PAIR_TOKENS = f"""{_PAIR_TEXTS}, {_vocab('texts', tokens.VOCABULARY_SIZE, ('chosen_text', 'rejected_text'))},
+_PAIR_TOKENS = f"""{_PAIR_TEXTS}, {_vocab('texts', VOCABULARY_SIZE, ('chosen_text', 'rejected_text'))},
   {_encoded('ch', 'texts', 'pair_id', 'chosen_text', LENGTH)}, {_encoded('rj', 'texts', 'pair_id', 'rejected_text', LENGTH)},
   chs AS (SELECT pair_id, count(*) AS n, string_agg(token_id, ' ' ORDER BY pos) AS ids FROM ch GROUP BY pair_id),
   rjs AS (SELECT pair_id, count(*) AS n, string_agg(token_id, ' ' ORDER BY pos) AS ids FROM rj GROUP BY pair_id),
@@ -226,14 +230,14 @@ _TEXT_NOTE = "CASE WHEN {0} = '' THEN 'blank_{1}' WHEN {2} THEN 'harmful_{1}' EN
 ORACLES = {
     "vocab_topk": f"WITH {_vocab('documents', 500)} SELECT token, token_id FROM vocab",
     "token_counts": f"""WITH {_vocab('documents', 1)} SELECT c AS occurrences, count(*) AS tokens FROM words GROUP BY c""",
-    "encode_docs": f"""WITH {_vocab('documents', tokens.VOCABULARY_SIZE)}, {_encoded('e', 'documents', 'doc_id', 'text', tokens.MAX_LENGTH)}
+    "encode_docs": f"""WITH {_vocab('documents', VOCABULARY_SIZE)}, {_encoded('e', 'documents', 'doc_id', 'text')}
       SELECT d.doc_id, CAST(count(e.pos) AS INT) AS token_count, CAST(count(e.pos) AS INT) AS mask_sum,
         coalesce(string_agg(e.token_id, ' ' ORDER BY e.pos), '') AS ids
       FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id""",
     "chat_loss_mask": f"WITH {_CHAT_TOKENS} SELECT conv_id, CAST(n AS INT) AS token_count, ids, labels FROM chat_rows",
     "heading_loss_mask": f"""WITH docs AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat('Question? Answer: ', text)
           WHEN 1 THEN concat('Output: x. Response: ', text) WHEN 2 THEN concat('<|user|> ', text) ELSE text END AS text
-        FROM documents), {_vocab('docs', tokens.VOCABULARY_SIZE)}, {_encoded('e', 'docs', 'doc_id', 'text', LENGTH)},
+        FROM documents), {_vocab('docs', VOCABULARY_SIZE)}, {_encoded('e', 'docs', 'doc_id', 'text')},
       nxt AS (SELECT *, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS nt FROM e),
       starts AS (SELECT doc_id, count(*) AS n, coalesce(
           min(pos) FILTER (token = 'Response' AND nt = ':') + 2, min(pos) FILTER (token = 'Answer' AND nt = ':') + 2,
@@ -329,14 +333,13 @@ ORACLES = {
       FROM chat_rows JOIN chats USING (conv_id) WHERE n >= 3 AND NOT {V.sql_harmful('text')}""",
     "prepared_simple": f"WITH {V.SQL_CHATS} SELECT conv_id, length(text) AS length FROM chats WHERE length(text) <= 2048",
     "preference_training_split": f"""WITH {_PAIR_TOKENS},
-      i AS (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS r, count(*) OVER () AS n FROM good)
-      SELECT pair_id, CASE WHEN n < 100 THEN (CASE WHEN r < floor(n * {V.num(0.8)}) THEN 'train' ELSE 'eval' END)
-        WHEN CAST(concat('0x', substr(md5(concat('42|', pair_id)), 1, 15)) AS BIGINT) % 100 < 80
+      i AS (SELECT pair_id FROM good)
+      SELECT pair_id, CASE WHEN CAST(concat('0x', substr(md5(concat('42|', pair_id)), 1, 15)) AS BIGINT) % 100 < 80
         THEN 'train' ELSE 'eval' END AS split FROM i""",
-    "prompt_set": f"""WITH {V.SQL_CHATS}, {_vocab('chats', tokens.VOCABULARY_SIZE)},
+    "prompt_set": f"""WITH {V.SQL_CHATS}, {_vocab('chats', VOCABULARY_SIZE)},
       p AS (SELECT conv_id, {V.sql_strip('text')} AS prompt FROM (
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE role = 'user')
-        WHERE r = 1 AND text <> '' ORDER BY conv_id LIMIT 1000),
+        WHERE r = 1 AND text <> ''),
       {_encoded('e', 'p', 'conv_id', 'prompt', LENGTH // 2)}
       SELECT p.conv_id, p.prompt, coalesce(string_agg(e.token_id, ' ' ORDER BY e.pos), '') AS ids
       FROM p LEFT JOIN e USING (conv_id) GROUP BY p.conv_id, p.prompt""",

@@ -53,15 +53,21 @@ def pref_split(spark, sf):
     return sampling.train_eval_split(pref_pairs(spark, sf), "pair_id", "pair_id").select("pair_id", "split")
 
 
+def pref_position_split(spark, sf):
+    return sampling.train_eval_split(
+        pref_pairs(spark, sf), "pair_id", "pair_id", mode="position",
+        rows_per_bucket=V.ROWS_PER_BUCKET).select("pair_id", "split")
+
+
 def pref_exact_split(spark, sf):
     return sampling.train_eval_split(
-        pref_pairs(spark, sf), "pair_id", "pair_id", exact=True,
+        pref_pairs(spark, sf), "pair_id", "pair_id", mode="exact",
         rows_per_bucket=V.ROWS_PER_BUCKET).select("pair_id", "split")
 
 
 QUERIES = {f.__name__: f for f in (
     pref_aliases, pref_render, pref_reject_reasons, pref_warnings, pref_content_filter, pref_quality,
-    pref_validation_report, pref_split, pref_exact_split)}
+    pref_validation_report, pref_split, pref_position_split, pref_exact_split)}
 
 _NOTES = f"""checked AS (
   SELECT pair_id,
@@ -114,12 +120,13 @@ ORACLES = {
       SELECT *, round(valid * 100 / total, 6) AS valid_percentage, round(invalid * 100 / total, 6) AS invalid_percentage,
         invalid <= total * 0.05 AS is_valid, content_warnings > total * 0.2 AS high_warning_rate FROM a""",
     "pref_split": f"""WITH {V.SQL_PAIRS},
+      i AS (SELECT pair_id FROM pairs)
+      SELECT pair_id, CASE WHEN {_HASH} % 100 < 80 THEN 'train' ELSE 'eval' END AS split FROM i""",
+    "pref_position_split": f"""WITH {V.SQL_PAIRS},
       i AS (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS r, count(*) OVER () AS n FROM pairs)
-      SELECT pair_id, CASE WHEN n < 100 THEN (CASE WHEN r < floor(n * {V.num(0.8)}) THEN 'train' ELSE 'eval' END)
-        WHEN {_HASH} % 100 < 80 THEN 'train' ELSE 'eval' END AS split FROM i""",
+      SELECT pair_id, CASE WHEN r < floor(n * {V.num(0.8)}) THEN 'train' ELSE 'eval' END AS split FROM i""",
     "pref_exact_split": f"""WITH {V.SQL_PAIRS},
       i AS (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS r,
               row_number() OVER (ORDER BY {_HASH}) - 1 AS h, count(*) OVER () AS n FROM pairs)
-      SELECT pair_id, CASE WHEN n < 100 THEN (CASE WHEN r < floor(n * {V.num(0.8)}) THEN 'train' ELSE 'eval' END)
-        WHEN h >= ceil(n * {V.num(0.2)}) THEN 'train' ELSE 'eval' END AS split FROM i""",
+      SELECT pair_id, CASE WHEN h >= ceil(n * {V.num(0.2)}) THEN 'train' ELSE 'eval' END AS split FROM i""",
 }

@@ -8,6 +8,7 @@ from alignlake.functions import chat
 from alignlake.operators import evaluation, normalize, reports, tokens, validate
 from alignlake.plans import jobs
 from alignlake.registry import views as V
+from alignlake.registry.encoding import LENGTH, VOCABULARY_SIZE
 from alignlake.session import work_path, written
 from alignlake.sources import readers, writers
 
@@ -58,7 +59,9 @@ def cached_load(spark, sf):
     cache = readers.TableCache(spark)
     cache.get(f"{sf}/documents.parquet")
     rows = cache.get(f"{sf}/documents.parquet").groupBy("source").agg(F.count("*").alias("rows"))
-    return rows.withColumn("tables", F.lit(len(cache)))
+    rows = written(rows.withColumn("tables", F.lit(len(cache))), "cached-counts")
+    cache.clear()
+    return rows
 
 
 def evaluation_document(spark, sf):
@@ -87,7 +90,7 @@ def provenance_roundtrip(spark, sf):
 
 def training_shards(spark, sf):
     df = V.chats(spark, sf)
-    rows = written(validate.successful(jobs.process_chats(df, jobs.vocabulary_of(df, "chat"))), "chats")
+    rows = written(validate.successful(jobs.process_chats(df, jobs.vocabulary_of(df, "chat", VOCABULARY_SIZE), LENGTH)), "chats")
     batches = tokens.collate(tokens.with_batch(rows, "conv_id", 4, rows_per_bucket=V.ROWS_PER_BUCKET))
     path = writers.write_shards(batches, work_path(spark, "shards"), shards=4)
     back = readers.load_table(spark, path)
@@ -126,7 +129,7 @@ ORACLES = {
       round(arg_max({_LOSS}, seq) FILTER ({_LOSS} IS NOT NULL), 6) AS final_loss, count(*) AS total_steps,
       true AS completed FROM history GROUP BY run_id, stage""",
     "training_shards": f"""WITH {V.SQL_CHATS},
-      n AS (SELECT conv_id, least(len({V.sql_tokens('text')}), {tokens.MAX_LENGTH}) AS n FROM chats),
+      n AS (SELECT conv_id, least(len({V.sql_tokens('text')}), {LENGTH}) AS n FROM chats),
       b AS (SELECT *, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS batch_id FROM n WHERE n >= 3)
       SELECT batch_id, CAST(count(*) AS INT) AS batch_rows, CAST(max(n) AS INT) AS width FROM b GROUP BY batch_id""",
 }

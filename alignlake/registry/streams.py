@@ -8,48 +8,59 @@ from alignlake.functions import patterns
 from alignlake.operators import normalize, tokens, validate
 from alignlake.registry import views as V
 from alignlake.sources import readers
+from alignlake.session import work_path
 from alignlake.streaming import jobs
 
 
-def _stream(spark, sf, name):
-    return readers.stream_table(spark, sf, V.table(spark, sf, name).schema, pattern=f"{name}.parquet")
+PARTS = 3
+
+
+def _stream(spark, sf, name, part, newest_first=True):
+    """The table as a stream of several files, one per micro-batch; ``part`` is the SQL number of a row's file."""
+    df, root = V.table(spark, sf, name), work_path(spark, f"stream-{name}")
+    for k in sorted(range(PARTS), reverse=newest_first):
+        df.filter(f"{part} = {k}").coalesce(1).write.mode("append").parquet(root)
+    return readers.stream_table(spark, root, df.schema)
 
 
 def stream_filter(spark, sf):
-    docs = _stream(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = _stream(spark, sf, "documents", f"doc_id % {PARTS}").select("doc_id", "lang", "text")
     return jobs.drain(docs.filter(~patterns.is_harmful(F.col("text"))).select("doc_id", "lang"), "clean-documents")
 
 
 def stream_head(spark, sf):
-    return jobs.drain(jobs.capped(_stream(spark, sf, "documents").select("doc_id"), 100), "head")
+    kept = jobs.drain(jobs.capped(_stream(spark, sf, "documents", f"doc_id % {PARTS}").select("doc_id"), 100), "head")
+    return kept.agg(F.countDistinct("doc_id").alias("rows"))
 
 
 def stream_reason_counts(spark, sf):
-    docs = _stream(spark, sf, "documents").select(
+    docs = _stream(spark, sf, "documents", f"doc_id % {PARTS}").select(
         "doc_id", F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))).alias("messages"))
     judged = validate.length_filter_reason(normalize.rendered(docs), max_length=512)
     return jobs.running_counts(judged, ["reason"], "reasons")
 
 
 def stream_error_windows(spark, sf):
-    errors = _stream(spark, sf, "events").filter("event_type = 'error'").select("ts")
-    windows = jobs.drain(jobs.windowed_counts(errors), "windows")
+    errors = _stream(spark, sf, "events", f"event_id % {PARTS}").filter("event_type = 'error'").select("ts")
+    windows = jobs.windowed_counts(errors, "windows", late_by=None)
     return windows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                           F.col("window_end").cast("timestamp_ntz").alias("window_end"), "errors")
 
 
 def stream_monitor(spark, sf):
-    points = _stream(spark, sf, "events").selectExpr(*V.HISTORY)
+    # a series must arrive in its own order, so the files follow the event number
+    last = V.events(spark, sf).agg(F.max("event_id")).first()[0]
+    points = _stream(spark, sf, "events", f"least({PARTS - 1}, event_id * {PARTS} div {last + 1})", newest_first=False).selectExpr(*V.HISTORY)
     return V.rounded(jobs.drain(jobs.monitor(points), "monitor").drop("loss"))
 
 
 def stream_batches(spark, sf):
-    docs = _stream(spark, sf, "documents").select("doc_id", tokens.text.tokens(F.col("text")).alias("tokens"))
+    docs = _stream(spark, sf, "documents", f"doc_id % {PARTS}").select("doc_id", tokens.text.tokens(F.col("text")).alias("tokens"))
     rows = docs.select("doc_id", F.transform("tokens", lambda t: F.length(t)).alias("input_ids")).select(
         "doc_id", "input_ids", F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
         F.col("input_ids").alias("labels"))
     batches = jobs.shuffled_batches(rows, "doc_id", 16, "stream-batches")
-    return batches.select("batch_id", "batch_rows", F.size(F.get("input_ids", F.lit(0))).alias("width"))
+    return batches.select(F.col("micro_batch").cast("int").alias("micro_batch"), "batch_id", "batch_rows", F.size(F.get("input_ids", F.lit(0))).alias("width"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -57,15 +68,14 @@ QUERIES = {f.__name__: f for f in (
 
 ORACLES = {
     "stream_filter": f"SELECT doc_id, lang FROM documents WHERE NOT {V.sql_harmful('text')}",
-    "stream_head": "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100",
+    "stream_head": "SELECT least(100, count(*)) AS rows FROM documents",
     "stream_reason_counts": f"""WITH r AS (SELECT CASE
         WHEN length({V.sql_render(V.q('user'), 'text')}) > 2048 THEN 'too_long_examples' ELSE 'valid_examples' END AS reason
         FROM documents) SELECT reason, count(*) AS rows FROM r GROUP BY reason""",
     "stream_error_windows": """WITH e AS (SELECT ts FROM events WHERE event_type = 'error'),
       w AS (SELECT unnest(range(time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 55 MINUTE,
               time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE, INTERVAL 5 MINUTE)) AS s FROM e)
-      SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS errors FROM w
-      WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM e) - INTERVAL 10 MINUTE GROUP BY s""",
+      SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS errors FROM w GROUP BY s""",
     "stream_monitor": f"""WITH {V.SQL_HISTORY}, {V.sql_series('loss', nan=True)},
       a AS (SELECT *, avg(value) OVER w AS m, max(CASE WHEN isnan(value) THEN 1 ELSE 0 END) OVER w AS bad,
               CASE WHEN isnan(value) THEN CAST('inf' AS DOUBLE) ELSE value END AS v FROM series
@@ -76,7 +86,8 @@ ORACLES = {
         round(least(before, v), 6) AS best, idx - coalesce(max(CASE WHEN v < before THEN idx END) OVER (
           PARTITION BY run_id, stage ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1)
           AS patience_counter FROM b""",
-    "stream_batches": f"""WITH t AS (SELECT len({V.sql_tokens('text')}) AS n, row_number() OVER (
-        ORDER BY CAST(concat('0x', substr(md5(concat('42|', doc_id)), 1, 15)) AS BIGINT)) - 1 AS r FROM documents)
-      SELECT r // 16 AS batch_id, CAST(count(*) AS INT) AS batch_rows, CAST(max(n) AS INT) AS width FROM t GROUP BY 1""",
+    "stream_batches": f"""WITH t AS (SELECT len({V.sql_tokens('text')}) AS n, 2 - doc_id % 3 AS m, row_number() OVER (
+        PARTITION BY doc_id % 3 ORDER BY CAST(concat('0x', substr(md5(concat('42|', doc_id)), 1, 15)) AS BIGINT)) - 1 AS r FROM documents)
+      SELECT CAST(m AS INT) AS micro_batch, r // 16 AS batch_id, CAST(count(*) AS INT) AS batch_rows, CAST(max(n) AS INT) AS width
+      FROM t GROUP BY 1, 2""",
 }

@@ -66,15 +66,20 @@ def text_preview(spark, sf):
 
 def first_prompts(spark, sf):
     rendered = normalize.rendered(V.chats(spark, sf)).select("conv_id", "text")
-    return normalize.first_prompts(rendered, ["conv_id"], limit=1000).select("conv_id", "prompt")
+    return normalize.first_prompts(rendered, ["conv_id"]).select("conv_id", "prompt")
+
+
+def first_prompts_capped(spark, sf):
+    rendered = normalize.rendered(V.chats(spark, sf)).select("conv_id", "text")
+    return normalize.first_prompts(rendered, ["conv_id"], limit=50).select("conv_id", "prompt")
 
 
 def first_prompts_from_messages(spark, sf):
-    return normalize.first_prompts(V.chats(spark, sf), ["conv_id"], limit=None).select("conv_id", "prompt")
+    return normalize.first_prompts(V.chats(spark, sf), ["conv_id"]).select("conv_id", "prompt")
 
 
 def all_prompts(spark, sf):
-    found = normalize.all_prompts(V.chats(spark, sf), ["conv_id"], max_prompts=2000)
+    found = normalize.all_prompts(V.chats(spark, sf), ["conv_id"])
     return found.select("conv_id", "position", "query")
 
 
@@ -126,8 +131,8 @@ def short_texts(spark, sf):
 
 
 def health_report(spark, sf):
-    df = V.documents(spark, sf).selectExpr("doc_id", "concat('How to kill ', text) AS instruction", "text AS response")
-    return reports.health_report(df, ["doc_id"])
+    df = V.documents(spark, sf).selectExpr("doc_id", "concat(CASE WHEN doc_id % 5 = 0 THEN 'How to kill ' ELSE '' END, text) AS instruction", "text AS response")
+    return reports.health_report(df)
 
 
 def head_rows(spark, sf):
@@ -155,7 +160,7 @@ def first_findings(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     chat_quality_bands, chat_render, chat_structure_warnings, raw_chat_warnings, chat_validation_report,
-    chat_content_filter, kept_chats, flat_row_messages, exchange_rows, text_preview, first_prompts,
+    chat_content_filter, kept_chats, flat_row_messages, exchange_rows, text_preview, first_prompts, first_prompts_capped,
     first_prompts_from_messages, all_prompts, text_prompts, harmful_docs, safety_issues, publishing_safety,
     content_quality, quality_bands, quality_stats, document_retention, length_filter_counts, short_texts,
     health_report, head_rows, stride_sample, seeded_sample, shuffle_positions, first_findings)}
@@ -236,12 +241,13 @@ ORACLES = {
         AS generation_prompt, length(prompt) AS prompt_length, length(response) AS response_length FROM exchanges""",
     "text_preview": """SELECT doc_id, CASE WHEN length(text) > 200 THEN concat(substr(text, 1, 200), '...') ELSE text END
       AS preview FROM documents""",
-    "first_prompts": f"{_FIRST_PROMPTS} ORDER BY conv_id LIMIT 1000",
+    "first_prompts": _FIRST_PROMPTS,
+    "first_prompts_capped": f"{_FIRST_PROMPTS} ORDER BY conv_id LIMIT 50",
     "first_prompts_from_messages": """SELECT conv_id, text AS prompt FROM (
       SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE role = 'user')
       WHERE r = 1""",
     "all_prompts": """SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS position,
-      text AS query FROM conversations WHERE role = 'user' ORDER BY conv_id, turn LIMIT 2000""",
+      text AS query FROM conversations WHERE role = 'user'""",
     "text_prompts": "SELECT doc_id, substr(text, 1, 100) AS query FROM documents WHERE length(text) > 100",
     "harmful_docs": f"SELECT doc_id, lang FROM documents WHERE {V.sql_harmful('text')}",
     "safety_issues": f"WITH {V.SQL_RESPONSES}, {_PUBLISH} SELECT doc_id, issues, issues = '' AS is_safe FROM issues",
@@ -266,11 +272,10 @@ ORACLES = {
       SELECT reason, count(*) AS rows, round(count(*) / (SELECT count(*) FROM r), 6) AS share,
         reason = 'valid_examples' AS is_success FROM r GROUP BY reason""",
     "short_texts": f"SELECT doc_id FROM documents WHERE length({V.sql_strip('text')}) < 10",
-    "health_report": """WITH f AS (SELECT * FROM documents ORDER BY doc_id LIMIT 3)
-      SELECT 'chat' AS detected_kind, count(*) AS checked, count(*) AS issues,
-        string_agg('harmful_content', ',') AS findings,
-        concat('review_quality', CASE WHEN (SELECT count(*) FROM documents) < 100 THEN ',small_table' ELSE '' END)
-          AS recommendations FROM f""",
+    "health_report": f"""WITH f AS (SELECT doc_id % 5 = 0 OR {V.sql_harmful('text')} AS bad FROM documents)
+      SELECT 'chat' AS detected_kind, count(*) AS checked, count(*) FILTER (bad) AS issues,
+        concat('harmful_content:', count(*) FILTER (bad)) AS findings,
+        concat('review_quality', CASE WHEN count(*) < 100 THEN ',small_table' ELSE '' END) AS recommendations FROM f""",
     "head_rows": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 100",
     "stride_sample": """WITH i AS (SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS r,
         greatest(1, count(*) OVER () // 700) AS step FROM events)

@@ -46,7 +46,10 @@ def drain_batches(stream: DataFrame, name: str, build: Callable[[DataFrame], Dat
 
 
 def capped(stream: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows of the whole stream; 0 or less keeps everything."""
+    """At most ``rows`` rows of the whole stream, those that arrive first; 0 or less keeps everything.
+
+    A stream has no order but that of its files, so which rows these are is not defined further.
+    """
     return stream.limit(rows) if rows > 0 else stream
 
 
@@ -57,17 +60,26 @@ def running_counts(stream: DataFrame, keys: Sequence[str], name: str) -> DataFra
     return written.filter(F.col("micro_batch") == newest).drop("micro_batch")
 
 
-def windowed_counts(stream: DataFrame, time: str = "ts", length: str = "1 hour", slide: str = "5 minutes",
-                    late_by: str = "10 minutes", keys: Sequence[str] = ()) -> DataFrame:
-    """Counts per sliding event-time window; a window is final once the watermark passes its end."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late_by)
-    counted = timed.groupBy(F.window(time, length, slide), *keys).agg(F.count("*").alias("errors"))
-    return counted.select(
+def windowed_counts(stream: DataFrame, name: str, late_by: str | None, time: str = "ts", length: str = "1 hour",
+                    slide: str = "5 minutes", keys: Sequence[str] = ()) -> DataFrame:
+    """Counts per sliding event-time window, open windows included.
+
+    Every micro-batch writes the windows that it changed and the newest count of a window holds. ``late_by`` bounds
+    the state: rows later than that no longer count. ``None`` keeps every window and counts every row, however late.
+    """
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    timed = timed if late_by is None else timed.withWatermark(time, late_by)
+    counted = timed.groupBy(F.window(time, length, slide), *keys).agg(F.count("*").alias("errors")).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "errors")
+    changes = drain_batches(counted, name, lambda b: b, "update")
+    return changes.groupBy("window_start", "window_end", *keys).agg(F.max_by("errors", "micro_batch").alias("errors"))
 
 
 def shuffled_batches(stream: DataFrame, row_id: str, batch_size: int, name: str, seed: int = 42) -> DataFrame:
-    """Shuffle each micro-batch by hash, cut it into batches and pad them. The micro-batch is the buffer."""
+    """Shuffle each micro-batch by hash, cut it into batches and pad them. The micro-batch is the buffer.
+
+    A batch is known by (micro_batch, batch_id): batch numbers start anew in every micro-batch.
+    """
 
     def build(batch: DataFrame) -> DataFrame:
         placed = sampling.with_shuffle_position(batch, row_id, seed, "_position")
@@ -90,21 +102,21 @@ def monitor(stream: DataFrame, run: str = "run_id", stage: str = "stage", seq: s
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         recent, best, patience, seen = state.get if state.exists else ([], np.inf, 0, 0)
-        recent = list(recent)
         points = pd.concat(list(frames)).sort_values("seq")
-        out = []
-        for number, value in zip(points["seq"], points["loss"]):
-            recent = [*recent, value][-window:]
-            seen += 1
-            if value < best:
-                best, patience = value, 0
-            else:
-                patience += 1
-            full = seen >= window
-            bad = full and (not np.isfinite(value) or value > np.mean(recent) * factor)
-            out.append((key[0], key[1], number, value, bool(bad), best, patience))
-        state.update((recent, best, patience, seen))
-        yield pd.DataFrame(out, columns=["run_id", "stage", "seq", "loss", "diverged", "best", "patience_counter"])
+        values = points["loss"].to_numpy(float)
+        idx = np.arange(len(values))
+        before = np.minimum.accumulate(np.concatenate([[best], np.where(np.isnan(values), np.inf, values)]))
+        better = values < before[:-1]
+        since = np.maximum.accumulate(np.where(better, idx, -1))
+        counter = np.where(since >= 0, idx - since, patience + idx + 1)
+        padded = np.concatenate([np.full(max(0, window - len(recent)), np.nan), np.asarray(recent, float)[-window:], values])
+        means = np.lib.stride_tricks.sliding_window_view(padded, window)[1:].mean(1)
+        full = seen + idx + 1 >= window
+        bad = full & (~np.isfinite(values) | (values > means * factor))
+        state.update((padded[-min(window, seen + len(values)):].tolist(), float(before[-1]), int(counter[-1]), int(seen + len(values))))
+        yield pd.DataFrame({
+            "run_id": key[0], "stage": key[1], "seq": points["seq"].to_numpy(), "loss": values, "diverged": bad,
+            "best": before[1:], "patience_counter": counter})
 
     points = stream.filter(F.col(loss).isNotNull()).select(
         F.col(run).alias("run_id"), F.col(stage).alias("stage"), F.col(seq).alias("seq"), F.col(loss).alias("loss"))

@@ -135,6 +135,8 @@ def test_first_user_text(spark):
 def test_long_conversation_becomes_segments(spark):
     turns = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
                                    F.col("id").cast("string").alias("text"))
-    got = normalize.messages_from_turns(turns, max_turns=10).orderBy("segment").collect()
+    got = normalize.segments_from_turns(turns, 10).orderBy("segment").collect()
     assert [len(r.messages) for r in got] == [10, 10, 5]
     assert [m.content for r in got for m in r.messages] == [str(i) for i in range(25)]
+    whole = normalize.messages_from_turns(turns).collect()
+    assert len(whole) == 1 and [m.content for m in whole[0].messages] == [str(i) for i in range(25)]

@@ -43,7 +43,7 @@ TEXTS = [
 
 def test_loss_mask_against_row_oracle(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
-    encoded = tokens.with_labels(tokens.tokenized(df, tokens.vocabulary(df), max_length=12))
+    encoded = tokens.with_labels(tokens.tokenized(df, tokens.vocabulary(df, size=100), max_length=12))
     for row in encoded.orderBy("i").collect():
         toks, keep = mask(row.text, 12)
         assert row.tokens == toks
@@ -58,18 +58,18 @@ def test_vocabulary_order_unknowns_and_reserved(spark):
     got = tokens.tokenized(df, tokens.vocabulary(df, size=2)).collect()
     assert [r.input_ids for r in got] == [[6, 7, 6, 5], [7, 1, 6]]
     null = spark.createDataFrame([(None,)], "text string")
-    assert tokens.tokenized(null, tokens.vocabulary(df)).first().input_ids is None
+    assert tokens.tokenized(null, tokens.vocabulary(df, size=9)).first().input_ids is None
 
 
 def test_encoding_needs_no_shuffle_of_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    plan = tokens.tokenized(docs, tokens.vocabulary(docs))._jdf.queryExecution().optimizedPlan().toString()
+    plan = tokens.tokenized(docs, tokens.vocabulary(docs, size=1000))._jdf.queryExecution().optimizedPlan().toString()
     assert not any(line.startswith(("Join", "Aggregate", "Sort", "Window")) for line in plan.splitlines())
 
 
 def test_user_tokenizer_and_collator(spark):
     df = spark.createDataFrame([(1, "abc"), (2, None), (3, "a")], "i int, text string")
-    got = tokens.with_user_tokenizer(df, lambda: (lambda t: [ord(c) for c in t]), max_length=2).orderBy("i").collect()
+    got = tokens.with_user_tokenizer(df, lambda: (lambda texts: [[ord(c) for c in t] for t in texts]), max_length=2).orderBy("i").collect()
     assert [r.input_ids for r in got] == [[97, 98], None, [97]]
 
     def longest(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -102,9 +102,9 @@ def test_stride_sample(spark, total, k):
 
 
 def test_splits(spark):
-    small = sampling.train_eval_split(spark.range(7), "id", "id")
+    small = sampling.train_eval_split(spark.range(7), "id", "id", mode="position")
     assert [r.id for r in small.filter("split = 'eval'").orderBy("id").collect()] == [5, 6]
-    large = sampling.train_eval_split(spark.range(2001), "id", "id", exact=True, rows_per_bucket=100)
+    large = sampling.train_eval_split(spark.range(2001), "id", "id", mode="exact", rows_per_bucket=100)
     assert large.filter("split = 'eval'").count() == 401
     hashed = sampling.train_eval_split(spark.range(5000), "id", "id")
     assert 900 < hashed.filter("split = 'eval'").count() < 1100

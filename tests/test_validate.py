@@ -95,21 +95,21 @@ def test_prepare_table(spark):
     rows = [(i, [("user", f"Question number {i} please"), ("assistant", "A calm answer" if i else "Use a gun")])
             for i in range(40)]
     df = spark.createDataFrame(rows, f"i int, messages {MESSAGES_TYPE}")
-    done = jobs.prepare_table(df, "chat", "i", max_length=64)
+    done = jobs.prepare_table(df, "chat", "i", 64, 1000)
     assert done.count() == 39
     row = done.orderBy("i").first()
     assert len(row.input_ids) == len(row.labels) == row.token_count and row.original_length == len(row.text)
     with pytest.raises(ValueError):
-        jobs.prepare_table(df.withColumn("messages", F.array().cast(MESSAGES_TYPE)), "chat", "i")
+        jobs.prepare_table(df.withColumn("messages", F.array().cast(MESSAGES_TYPE)), "chat", "i", 64, 1000)
     with pytest.raises(ValueError):
-        jobs.prepare_table(df, "other", "i")
+        jobs.prepare_table(df, "other", "i", 64, 1000)
 
 
 def test_health_report(spark):
     tiny = spark.createDataFrame([(1, "p", "c", "c"), (2, "p", "", "r")], "i int, prompt string, chosen string, rejected string")
-    got = reports.health_report(tiny, ["i"]).first()
-    assert (got.detected_kind, got.findings) == ("preference", "identical_responses,missing_fields")
+    got = reports.health_report(tiny).first()
+    assert (got.detected_kind, got.findings) == ("preference", "identical_responses:1,missing_fields:1")
     assert got.recommendations == "review_quality,small_table"
-    other = reports.health_report(tiny.select("i"), ["i"]).first()
+    other = reports.health_report(tiny.select("i")).first()
     assert (other.detected_kind, other.recommendations) == ("unknown", "custom_preprocessing,small_table")
-    assert reports.health_report(tiny.limit(0), ["i"]).first().recommendations == "check_loading"
+    assert reports.health_report(tiny.limit(0)).first().recommendations == "check_loading"
