@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,47 +32,109 @@ from pyspark.sql import functions as F
 
 from alignlake.session import work_path, written
 
-WORD_CACHE = 400_000
+WORD_CACHE = 500_000
 MANIFEST = "part int, ids_file string, index_file string, documents bigint, ids bigint, first_id bigint"
-CHUNK = 256  # documents encoded at once
+CHUNK = 1000  # documents encoded at once
 
 
-def word_encoder(tokenizer_file: str) -> tuple[Callable[[list[str]], list[list[int]]], int]:
-    """A function from texts to ids that equals the library's ``encode`` of each whole text, and the vocabulary size.
+# The steps of a tokenizer before its BPE model for which ``_plain`` knows the outcome.
+PLAIN_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 
-    The tokenizer splits at white space before anything else, so a text's ids are those of its
-    words, which the library encodes once each per task and bounded cache. A tokenizer without
-    that property is applied to whole texts.
-    """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    size = tokenizer.get_vocab_size(with_added_tokens=True)
+def byte_letters() -> list[str]:
+    """The printable character that byte-level models write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
-    def whole(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    # white space must be a border and vanish, also next to punctuation and the special tokens
-    probe = ["ab", "'s", "--", "9", "é", *tokenizer.get_added_tokens_decoder().values()]
-    probe = [str(getattr(p, "content", p)) for p in probe]
-    split = all(whole([f"{a}{s}{b}"])[0] == whole([a])[0] + whole([b])[0] for a in probe for b in probe for s in (" ", "\n", " \t"))
-    if not split:
-        return whole, size
-    border = re.compile(r"[ \t\n\r\f\v]+")
-    known: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
+class TextIds:
+    """Ids of whole texts, equal to the library's ``encode`` of each without special tokens.
 
-    def by_word(texts: list[str]) -> list[np.ndarray]:
-        words = [border.split(t) for t in texts]
-        new = list(set().union(*words).difference(known))
-        if len(known) + len(new) > WORD_CACHE:
-            known.clear()
-            known[""] = np.empty(0, np.uint32)
-            new = list(set().union(*words) - {""})
-        for i in range(0, len(new), 20_000):
-            known.update((w, np.array(x, np.uint32)) for w, x in zip(new[i : i + 20_000], whole(new[i : i + 20_000]), strict=True))
-        return [np.concatenate([known[w] for w in ws]) for ws in words]
+    The tokenizer splits at white space before anything else (probed when it is loaded), so a text's ids are those of its words.
+    The distinct words of a batch are encoded once each and kept for the next batches of the task, end to end in one array.
+    Words of Latin letters, with or without punctuation behind them, go straight to the library's BPE model, since
+    what its earlier steps make of them is known; all others go through the library whole. A tokenizer that
+    does not split at white space is applied to whole texts.
+    """
 
-    return by_word, size
+    def __init__(self, tokenizer_file: str):
+        import json
+
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        steps = json.loads(self.tokenizer.to_str())
+        self.letters = byte_letters() if all(steps[k] == v for k, v in PLAIN_STEPS.items()) else None
+        probe = ["ab", "'s", "--", "9", "é", *[str(getattr(p, "content", p)) for p in self.tokenizer.get_added_tokens_decoder().values()]]
+        self.by_word = all(
+            self._whole([f"{a}{s}{b}"])[0] == self._whole([a])[0] + self._whole([b])[0] for a in probe for b in probe for s in (" ", "\n", " \t"))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
+        self.flat, self.begin, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for i in range(0, len(texts), 5000)
+                for e in self.tokenizer.encode_batch_fast(texts[i : i + 5000], add_special_tokens=False)]
+
+    def _plain(self, word: str) -> list[int] | None:
+        """Ids of letters below U+0250 with ASCII punctuation behind them; None for other words."""
+        stem = word.rstrip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+        lower = stem.lower()
+        if not (lower.isalpha() and stem.isalpha()) or max(stem) >= "\u0250":
+            return None
+        tail = word[len(stem):]
+        ids = self.parts.get(lower) or self._part(lower)
+        return ids + (self.parts.get(tail) or self._part(tail)) if tail else ids
+
+    def _part(self, part: str) -> list[int]:
+        written_out = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+        ids = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(written_out)]
+        return ids
+
+    def _learn(self, words: list[str]) -> None:
+        found = [self._plain(w) if self.letters and w else None for w in words]
+        rest = [i for i, f in enumerate(found) if f is None]
+        for i, ids in zip(rest, self._whole([words[i] for i in rest]), strict=True):
+            found[i] = ids
+        sizes = np.array([len(f) for f in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat, self.size = np.concatenate([self.flat, ids]), np.concatenate([self.size, sizes])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the number of ids of each; null texts have none."""
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            found = self._whole(texts.to_pylist())
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.array([len(f) for f in found], np.int64)
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.known) > WORD_CACHE:
+            self._forget()
+        new = [w for w in distinct if w not in self.known]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.begin[at] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        borders = words.offsets.to_numpy() - words.offsets[0].as_py()
+        return ids, np.diff(np.append(0, ends)[borders])
 
 
 def _opened(path: str):
@@ -100,8 +163,8 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: s
 
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
-        encode, size = word_encoder(tokenizer_file)
-        kind = np.dtype("<u2" if max(size - 1, end_id) < 1 << 16 else "<u4")
+        encoder = TextIds(tokenizer_file)
+        kind = np.dtype("<u2" if max(encoder.vocabulary - 1, end_id) < 1 << 16 else "<u4")
         target, base = _opened(folder)
         offsets, names, total = [np.zeros(1, np.uint64)], [], 0
         with target.open_output_stream(f"{base}/{name}.ids") as out:
@@ -110,10 +173,10 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: s
                     raise ValueError("a document without an id has no place in the file")
                 names.append(batch.column(0).to_numpy().astype("<i8"))
                 for i in range(0, batch.num_rows, CHUNK):
-                    texts = [t or "" for t in batch.column(1).slice(i, CHUNK).to_pylist()]
-                    ids = [np.append(x, end_id).astype(kind) for x in encode(texts)]
-                    out.write(np.concatenate(ids).tobytes())
-                    ends = total + np.cumsum([len(x) for x in ids])
+                    ids, sizes = encoder.encode(batch.column(1).slice(i, CHUNK))
+                    ends = np.cumsum(sizes)
+                    out.write(np.insert(ids, ends, end_id).astype(kind).tobytes())
+                    ends += total + np.arange(1, len(ends) + 1)
                     offsets.append(ends.astype(np.uint64))
                     total = int(ends[-1])
         if not names:
