@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alignlake.llm import decontaminate, language_id, line_dedup, page_text, personal_data, piece_codec, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.sources.readers import spread
 
 
 TOKENIZERS = "/opt/tokenizers"
@@ -13,7 +14,8 @@ END_OF_DOCUMENT = 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one that lies in fewer parts than there are cores is spread over them."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

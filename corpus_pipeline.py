@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from alignlake.llm import decontaminate, language_id, line_dedup, piece_codec, setsketch
 from alignlake.session import written
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
