@@ -42,8 +42,21 @@ def _as_messages(df: DataFrame, name: str) -> Column:
     return F.transform(F.col(name), convert)
 
 
-def message_list(df: DataFrame, names: Sequence[str]) -> Column:
-    found = [_as_messages(df, n) for n in names if n in df.columns]
+def _parsed(df: DataFrame, name: str) -> Column:
+    """A text column that holds messages as JSON; other text gives NULL."""
+    read = F.from_json(F.col(name), f"{chat.MESSAGES_TYPE}")
+    return F.when(F.size(read) > 0, read)
+
+
+def message_list(df: DataFrame, names: Sequence[str], parse_json: bool = False) -> Column:
+    """First list column that is filled in the row. Text columns of these names are no lists unless ``parse_json``."""
+    found = []
+    for n in [n for n in names if n in df.columns]:
+        kind = df.schema[n].dataType
+        if isinstance(kind, T.ArrayType):
+            found.append(_as_messages(df, n))
+        elif isinstance(kind, T.StringType) and parse_json:
+            found.append(_parsed(df, n))
     return F.coalesce(*found) if found else F.lit(None).cast(chat.MESSAGES_TYPE)
 
 
@@ -58,9 +71,9 @@ def flat_messages(df: DataFrame) -> Column:
     ))
 
 
-def with_messages(df: DataFrame, out: str = "messages") -> DataFrame:
+def with_messages(df: DataFrame, out: str = "messages", parse_json: bool = False) -> DataFrame:
     """Chat messages from any supported row shape. The plan only touches columns that exist."""
-    return df.withColumn(out, F.coalesce(message_list(df, MESSAGE_LISTS), flat_messages(df)))
+    return df.withColumn(out, F.coalesce(message_list(df, MESSAGE_LISTS, parse_json), flat_messages(df)))
 
 
 def with_preference(df: DataFrame) -> DataFrame:

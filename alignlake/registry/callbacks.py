@@ -32,8 +32,19 @@ def user_tokenizer(spark, sf):
     return encoded.select("doc_id", F.size("input_ids").alias("token_count"))
 
 
-QUERIES = {f.__name__: f for f in (user_row_map, user_row_filter, user_metric, user_tokenizer)}
+def user_collator(spark, sf):
+    """A user's function over each batch of sixteen neighbours."""
+    docs = V.documents(spark, sf).select("doc_id", "n_chars", F.floor(F.col("doc_id") / 16).cast("bigint").alias("batch_id"))
+
+    def widest(p):
+        return p.groupby("batch_id", as_index=False).agg(rows=("doc_id", "size"), width=("n_chars", "max"))
+
+    return tokens.collate_with(docs, widest, "batch_id bigint, rows bigint, width bigint")
+
+
+QUERIES = {f.__name__: f for f in (user_row_map, user_row_filter, user_metric, user_tokenizer, user_collator)}
 ORACLES = {
+    "user_collator": "SELECT doc_id // 16 AS batch_id, count(*) AS rows, max(n_chars) AS width FROM documents GROUP BY 1",
     "user_row_map": "SELECT doc_id, length(text) + 1 AS shout FROM documents",
     "user_row_filter": "SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en' AND n_chars > 500",
     "user_metric": f"""WITH {V.SQL_REWARDS} SELECT run_id,

@@ -115,15 +115,18 @@ def text_quality_report(spark, sf):
     return V.rounded(reports.text_quality_report(done, ["chosen_text", "rejected_text"]))
 
 
-def processed_chat_checks(spark, sf):
-    planted = _chats(spark, sf).withColumn(
+def _planted_chats(spark, sf):
+    return _chats(spark, sf).withColumn(
         "input_ids", F.when(F.col("conv_id") % 7 == 2, F.transform("input_ids", lambda x: -x)).otherwise(F.col("input_ids"))
     ).withColumn(
         "attention_mask", F.when(F.col("conv_id") % 7 == 3, F.transform("attention_mask", lambda x: x + 1))
         .when(F.col("conv_id") % 7 == 4, F.slice("attention_mask", 1, 2)).otherwise(F.col("attention_mask"))
     ).withColumn("labels", F.when(F.col("conv_id") % 7 == 5, F.array().cast("array<int>"))
                  .when(F.col("conv_id") % 7 == 6, F.transform("labels", lambda x: F.lit(-100))).otherwise(F.col("labels")))
-    checked = validate.check_processed_chat(planted.drop("reason"), LENGTH)
+
+
+def processed_chat_checks(spark, sf):
+    checked = validate.check_processed_chat(_planted_chats(spark, sf).drop("reason"), LENGTH)
     return checked.select("conv_id", F.array_join("errors", ",").alias("errors"),
                           F.array_join("warnings", ",").alias("warnings"))
 
@@ -139,6 +142,36 @@ def format_gate(spark, sf):
     return validate.format_gate(done, "chat", LENGTH, "conv_id", rows_per_bucket=B)
 
 
+def failing_format_gate(spark, sf):
+    return validate.format_gate(_planted_chats(spark, sf).drop("reason"), "chat", LENGTH, "conv_id", rows_per_bucket=B)
+
+
+def _planted_arrays(spark, sf):
+    """Documents with arrays of which some are missing, empty or too short."""
+    at, size = F.col("doc_id") % 7, (F.col("doc_id") % 4 + 3).cast("int")
+    ids = F.when(at == 2, F.array().cast("array<int>")).when(at != 1, F.sequence(F.lit(1), size))
+    return V.documents(spark, sf).select(
+        "doc_id", ids.alias("input_ids"), F.array_repeat(F.lit(1), size - F.when(at == 3, 1).otherwise(0)).alias("attention_mask"),
+        ids.alias("labels"))
+
+
+def required_fields(spark, sf):
+    df = _planted_arrays(spark, sf)
+    return df.select("doc_id", validate.processed_row_ok(df, "chat").alias("complete"),
+                     validate.has_fields(df, ["input_ids", "absent"]).alias("has_absent"))
+
+
+def stage_gates(spark, sf):
+    """Every stage gate on tables whose first row is complete, has empty arrays, or that have no rows or columns."""
+    df = _planted_arrays(spark, sf)
+    pairs = df.select("doc_id", *[F.col(c).alias(f"{side}_{c}") for side in ("chosen", "rejected") for c in ("input_ids", "attention_mask")])
+    tables = {"complete": (df.filter("doc_id % 7 = 0"), pairs.filter("doc_id % 7 = 0")), "empty_arrays": (df.filter("doc_id % 7 = 2"), pairs.filter("doc_id % 7 = 2")),
+              "no_rows": (df.filter("doc_id < 0"), pairs.filter("doc_id < 0")), "no_columns": (df.select("doc_id"), pairs.select("doc_id"))}
+    rows = [(name, stage, validate.stage_input_ok(both[stage == "preference"], stage, "doc_id"))
+            for name, both in tables.items() for stage in ("chat", "preference", "prompts")]
+    return spark.createDataFrame(rows, "input string, stage string, passed boolean")
+
+
 def sampled_format_gate(spark, sf):
     done = written(validate.successful(_preferences(spark, sf)), "pairs")
     return validate.format_gate(done, "preference", LENGTH, "pair_id", sample=100, rows_per_bucket=B)
@@ -172,7 +205,7 @@ def rejected_pair_texts(spark, sf):
 QUERIES = {f.__name__: f for f in (
     vocab_topk, token_counts, encode_docs, chat_loss_mask, heading_loss_mask, chat_reject_reasons, processed_pairs,
     batch_numbers, padded_batches, pref_padded_batches, token_length_stats, text_lengths, sampled_text_lengths,
-    text_quality_report, processed_chat_checks, processed_pref_checks, format_gate, sampled_format_gate,
+    text_quality_report, processed_chat_checks, processed_pref_checks, format_gate, failing_format_gate, required_fields, stage_gates, sampled_format_gate,
     prepared_chats, prepared_simple, preference_training_split, prompt_set, rejected_pair_texts)}
 
 _MARKERS = "('<|system|>', '<|user|>', '<|assistant|>', '<|end|>')"
@@ -346,3 +379,13 @@ ORACLES = {
     "rejected_pair_texts": f"""WITH {V.SQL_PAIRS} SELECT pair_id, length(prompt) AS prompt_length FROM pairs
       WHERE {V.SQL_PAIR_REASON} IS NOT NULL""",
 }
+ORACLES |= {
+    "failing_format_gate": f"""WITH c AS ({ORACLES['processed_chat_checks']}) SELECT count(*) AS checked,
+      count(*) FILTER (errors <> '') AS with_errors, count(*) FILTER (warnings <> '') AS with_warnings, false AS passed FROM c""",
+    "required_fields": "SELECT doc_id, doc_id % 7 NOT IN (1, 2, 3) AS complete, false AS has_absent FROM documents",
+    "stage_gates": """SELECT i.input, s.stage, CASE WHEN i.input = 'complete' THEN n > 0
+        WHEN i.input = 'empty_arrays' THEN n > 0 AND s.stage = 'prompts' ELSE false END AS passed
+      FROM (VALUES ('complete', 0), ('empty_arrays', 2), ('no_rows', -1), ('no_columns', -1)) i(input, r),
+        (VALUES ('chat'), ('preference'), ('prompts')) s(stage),
+        LATERAL (SELECT count(*) AS n FROM documents WHERE doc_id % 7 = i.r)""",
+}

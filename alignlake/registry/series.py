@@ -75,6 +75,12 @@ def config_diff(spark, sf):
     return reports.config_difference(V.config(spark, sf))
 
 
+def fingerprint_match(spark, sf):
+    """Which runs have the settings of the first run."""
+    prints = reports.fingerprints(V.config(spark, sf))
+    return reports.matches_fingerprint(prints, prints.orderBy("run_id").first()["fingerprint"]).select("run_id", "matches")
+
+
 def run_fingerprint(spark, sf):
     return reports.fingerprints(V.config(spark, sf))
 
@@ -181,7 +187,7 @@ def last_errors(spark, sf):
 QUERIES = {f.__name__: f for f in (
     rolling_stability, final_stability, trend_slope, convergence_point, gradient_stability, lr_schedule,
     loss_divergence, stepwise_divergence, patience, reward_stopping, rl_stopping, run_compare, config_diff,
-    run_fingerprint, series_long, memory_peaks, memory_alerts, memory_thinned, progress_eta, metric_keys,
+    run_fingerprint, fingerprint_match, series_long, memory_peaks, memory_alerts, memory_thinned, progress_eta, metric_keys,
     numeric_results, stage_performance, run_performance, baseline_compare, training_report, provenance_rollup,
     stage_completion, run_rollup, error_stats, recovery_by_strategy, recent_errors, last_errors)}
 
@@ -360,3 +366,5 @@ ORACLES = {
     "last_errors": f"""WITH {V.SQL_ERRORS} SELECT event_id, category, severity FROM errors
       ORDER BY event_id DESC LIMIT 10""",
 }
+ORACLES["fingerprint_match"] = f"""WITH f AS ({ORACLES['run_fingerprint']})
+  SELECT run_id, fingerprint = (SELECT fingerprint FROM f ORDER BY run_id LIMIT 1) AS matches FROM f"""

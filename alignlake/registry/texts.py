@@ -126,6 +126,17 @@ def length_filter_counts(spark, sf):
     return V.rounded(reports.reason_counts(judged, good="valid_examples"))
 
 
+def mixed_row_shapes(spark, sf):
+    """Rows of four shapes in one table: two list columns, JSON text in a list's column, and flat fields."""
+    chats = V.chats(spark, sf)
+    kind = F.col("conv_id") % 4
+    rows = chats.select(
+        "conv_id", F.when(kind == 0, F.col("messages")).alias("conversations"),
+        F.when(kind == 1, F.to_json("messages")).when(kind == 2, F.lit("plain words")).alias("conversation"),
+        F.when(kind >= 2, F.lit("Say it")).alias("instruction"), F.when(kind == 3, F.lit("done")).alias("output"))
+    return normalize.rendered(normalize.with_messages(rows, parse_json=True)).select("conv_id", "text")
+
+
 def short_texts(spark, sf):
     return validate.short_text_warning(V.documents(spark, sf)).filter("short_text").select("doc_id")
 
@@ -163,7 +174,7 @@ QUERIES = {f.__name__: f for f in (
     chat_content_filter, kept_chats, flat_row_messages, exchange_rows, text_preview, first_prompts, first_prompts_capped,
     first_prompts_from_messages, all_prompts, text_prompts, harmful_docs, safety_issues, publishing_safety,
     content_quality, quality_bands, quality_stats, document_retention, length_filter_counts, short_texts,
-    health_report, head_rows, stride_sample, seeded_sample, shuffle_positions, first_findings)}
+    health_report, mixed_row_shapes, head_rows, stride_sample, seeded_sample, shuffle_positions, first_findings)}
 
 _SCORED_DOCS = f"scored AS (SELECT doc_id, {V.sql_quality('text')} AS quality FROM documents)"
 
@@ -276,6 +287,9 @@ ORACLES = {
       SELECT 'chat' AS detected_kind, count(*) AS checked, count(*) FILTER (bad) AS issues,
         concat('harmful_content:', count(*) FILTER (bad)) AS findings,
         concat('review_quality', CASE WHEN count(*) < 100 THEN ',small_table' ELSE '' END) AS recommendations FROM f""",
+    "mixed_row_shapes": f"""WITH {V.SQL_CHATS} SELECT conv_id, CASE conv_id % 4 WHEN 2 THEN {V.sql_render(V.q('user'), V.q('Say it'))}
+        WHEN 3 THEN concat({V.sql_render(V.q('user'), V.q('Say it'))}, chr(10), {V.sql_render(V.q('assistant'), V.q('done'))})
+        ELSE text END AS text FROM chats""",
     "head_rows": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 100",
     "stride_sample": """WITH i AS (SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS r,
         greatest(1, count(*) OVER () // 700) AS step FROM events)
