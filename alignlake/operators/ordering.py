@@ -1,8 +1,8 @@
 """Row positions and row windows that hold when one series owns a large share of the table.
 
 A plain ``Window.partitionBy(series).orderBy(seq)`` sends a whole series to one task. The helpers
-here cut the order key at global quantiles, so no (series, bucket) group exceeds the bucket size,
-number the rows with per-bucket counts, and then run frame windows over fixed-length chunks of row
+here cut the order key into ranges of about equally many rows, so no (series, bucket) group exceeds the
+bucket size, number the rows with per-bucket counts, and then run frame windows over fixed-length chunks of row
 positions. Rows at chunk borders are copied into the neighbouring chunk so frames stay exact.
 """
 
@@ -10,51 +10,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alignlake.session import written
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 20_000
 CHUNK_ROWS = 500_000
 
 
-def _cuts(df: DataFrame, key: str, rows_per_bucket: int) -> list[float]:
-    """Quantiles of the order key, one per bucket border. One aggregate row reaches the driver."""
-    total, low, high = df.agg(F.count("*"), F.min(key), F.max(key)).first()
-    buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
-    if buckets <= 1 or low == high:
-        return []
-    grid = [i / buckets for i in range(1, buckets)]
-    cuts = df.stat.approxQuantile(key, grid, 0.1 / buckets)
-    return sorted({c for c in cuts if c > low})
+def _columns(order_by: str | Sequence[str]) -> list[str]:
+    return [order_by] if isinstance(order_by, str) else list(order_by)
 
 
-def with_bucket(df: DataFrame, order_by: str, bucket: str = "_bucket",
+def with_bucket(df: DataFrame, order_by: str | Sequence[str], bucket: str = "_bucket",
                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add a bucket number that grows with the order key; buckets hold about equally many rows."""
-    key = f"{bucket}_key"
-    order = F.col(order_by)
-    if df.schema[order_by].dataType.typeName() == "timestamp_ntz":
-        order = order.cast("timestamp")
-    keyed = df.withColumn(key, order.cast("double"))
-    cuts = _cuts(keyed.select(key), key, rows_per_bucket)
-    if not cuts:
-        return keyed.withColumn(bucket, F.lit(0)).drop(key)
-    splits = [float("-inf"), *cuts, float("inf")]
-    model = Bucketizer(splits=splits, inputCol=key, outputCol=bucket, handleInvalid="keep")
-    return model.transform(keyed).withColumn(bucket, F.col(bucket).cast("int")).drop(key)
-
-
-def with_running_total(df: DataFrame, order_by: str, keys: Sequence[str] = (), weight: Column | None = None,
+    """Add a bucket number that grows with the order key; buckets hold about equally many rows.
+
+    The table is range-partitioned once on the key, of any type and any number of columns, and stored with the number of
+    its range. As many ranges are made as the rows need, without a limit.
+    """
+    buckets = -(-df.count() // rows_per_bucket)
+    if buckets <= 1:
+        return df.withColumn(bucket, F.lit(0))
+    ranged = df.repartitionByRange(buckets, *_columns(order_by)).withColumn(bucket, F.spark_partition_id())
+    return written(ranged, "ranges")
+
+
+def with_running_total(df: DataFrame, order_by: str | Sequence[str], keys: Sequence[str] = (), weight: Column | None = None,
                        name: str = "idx", total: str | None = None,
                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Sum of ``weight`` over all earlier rows of the series (exclusive, so the first row gets 0).
 
-    ``order_by`` is one numeric or timestamp column that is unique inside a series. ``total`` names
-    an optional column for the sum over the whole series.
+    ``order_by`` names one or more columns of any orderable type that together are unique inside a series (rows with equal keys
+    lie in one range and get positions in no further order). ``total`` names an optional column for the sum over the whole series.
     """
     keys = list(keys)
     amount = F.lit(1).cast("bigint") if weight is None else weight
@@ -71,7 +60,7 @@ def with_running_total(df: DataFrame, order_by: str, keys: Sequence[str] = (), w
         "_group", F.coalesce(F.sum("_bucket_total").over(earlier), F.lit(0)).alias("_offset"),
         *([F.sum("_bucket_total").over(Window.partitionBy(*series)).alias(total)] if total else []),
     )
-    inside = Window.partitionBy("_group").orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_group").orderBy(*_columns(order_by)).rowsBetween(Window.unboundedPreceding, -1)
     return (
         weighed.join(offsets, "_group")
         .withColumn(name, F.coalesce(F.sum("_weight").over(inside), F.lit(0)) + F.col("_offset"))
@@ -79,7 +68,7 @@ def with_running_total(df: DataFrame, order_by: str, keys: Sequence[str] = (), w
     )
 
 
-def with_index(df: DataFrame, order_by: str, keys: Sequence[str] = (), name: str = "idx",
+def with_index(df: DataFrame, order_by: str | Sequence[str], keys: Sequence[str] = (), name: str = "idx",
                total: str | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the 0-based position of each row inside its series, and on request the series length."""
     return with_running_total(df, order_by, keys, name=name, total=total, rows_per_bucket=rows_per_bucket)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from alignlake.functions import chat, patterns
 from alignlake.functions import text as T
-from alignlake.operators import evaluation, normalize, quality, reports, sampling, validate
+from alignlake.operators import evaluation, normalize, ordering, quality, reports, sampling, validate
 from alignlake.plans import jobs
 from alignlake.registry import views as V
 
@@ -164,6 +164,13 @@ def shuffle_positions(spark, sf):
         V.table(spark, sf, "events").select("event_id"), "event_id", rows_per_bucket=B)
 
 
+def string_key_positions(spark, sf):
+    """Row positions by a composite key with a text column."""
+    docs = V.documents(spark, sf).select("doc_id", "lang", F.concat(F.lit("doc-"), "doc_id").alias("name"))
+    placed = ordering.with_index(docs, ["lang", "name"], name="position", rows_per_bucket=B)
+    return placed.select("doc_id", "position")
+
+
 def first_findings(spark, sf):
     checked = validate.check_messages(V.odd_chats(spark, sf))
     return sampling.first_findings(checked, "warnings", ["conv_id"], rows=10)
@@ -174,7 +181,7 @@ QUERIES = {f.__name__: f for f in (
     chat_content_filter, kept_chats, flat_row_messages, exchange_rows, text_preview, first_prompts, first_prompts_capped,
     first_prompts_from_messages, all_prompts, text_prompts, harmful_docs, safety_issues, publishing_safety,
     content_quality, quality_bands, quality_stats, document_retention, length_filter_counts, short_texts,
-    health_report, mixed_row_shapes, head_rows, stride_sample, seeded_sample, shuffle_positions, first_findings)}
+    health_report, mixed_row_shapes, head_rows, stride_sample, seeded_sample, shuffle_positions, string_key_positions, first_findings)}
 
 _SCORED_DOCS = f"scored AS (SELECT doc_id, {V.sql_quality('text')} AS quality FROM documents)"
 
@@ -297,6 +304,8 @@ ORACLES = {
     "seeded_sample": f"SELECT doc_id, lang FROM documents ORDER BY {_HASH.format('doc_id')}, doc_id LIMIT 150",
     "shuffle_positions": f"""SELECT event_id, row_number() OVER (ORDER BY {_HASH.format('event_id')}) - 1 AS position
       FROM events""",
+    "string_key_positions": """SELECT doc_id, row_number() OVER (ORDER BY lang, concat('doc-', doc_id)) - 1 AS position
+      FROM documents""",
     "first_findings": f"""WITH {_warnings(False)},
       l AS (SELECT conv_id, unnest(string_split(warnings, ',')) AS finding,
               unnest(range(len(string_split(warnings, ',')))) AS position FROM checked WHERE warnings <> '')

@@ -40,6 +40,14 @@ def test_global_index_and_ties_of_the_key(spark):
     assert sorted(r.idx for r in tied.collect()) == list(range(1000))
 
 
+def test_string_and_composite_keys(spark):
+    df = spark.range(500).select("id", F.concat(F.lit("k"), "id").alias("name"), (F.col("id") % 7).alias("part"))
+    by_name = ordering.with_index(df, "name", rows_per_bucket=40)
+    assert [r.name for r in sorted(by_name.collect(), key=lambda r: r.idx)] == sorted(f"k{i}" for i in range(500))
+    both = ordering.with_index(df, ["part", "name"], rows_per_bucket=40)
+    assert [(r.part, r.name) for r in sorted(both.collect(), key=lambda r: r.idx)] == sorted((i % 7, f"k{i}") for i in range(500))
+
+
 def test_chunk_frames_equal_plain_frames(skewed):
     indexed = ordering.with_index(skewed, "q", ["key"], rows_per_bucket=111)
     chunks = ordering.Chunks(indexed, ["key"], before=9, after=4, chunk_rows=50)
