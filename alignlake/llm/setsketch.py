@@ -5,11 +5,11 @@
    0 .. q + 1. Registers of a union are the maxima of the registers, so sketches of parts can be merged.
 2. Texts with equal sets are one class; its smallest id stands for it.
 3. Bands of registers are bucket keys. Two sets at the wanted similarity share no bucket with a
-   probability below ``(1 - 0.8 ** rows) ** bands``: 3e-6 with the defaults.
-4. Inside a bucket, each class is compared with one centre only. Classes that remain in different
+   probability below ``(1 - 0.8 ** rows) ** bands``: 1.2e-5 at the threshold itself with the defaults, 1e-8 at 0.85.
+4. Inside a bucket, each class is compared with one centre only, the member whose buckets are fullest. Classes that remain in different
    components are compared by centre: the Jaccard distance is a metric, so two stars can hold a link only
    if the distance of their centres is at most the wanted distance plus both radii. Only such stars are
-   opened. No bucket is ever expanded into all its pairs of members.
+   opened, and their members compared in blocks (a matrix product for some hundred members at once). No bucket is ever expanded into all its pairs of members.
 5. A pair's similarity is first estimated jointly from both sketches by maximum likelihood; pairs far
    below the threshold are dropped, the rest is verified on the full sets.
 
@@ -32,10 +32,12 @@ from alignlake.llm.components import components
 from alignlake.session import written
 
 BASE, RATE, TOP = 1.001, 20.0, 65534  # spacing b, rate a and truncation q of the registers
-BANDS, ROWS = 32, 5
-WORD_CACHE = 1_000_000
+BANDS, ROWS = 48, 7
+WORD_CACHE = 250_000
 BLOCK = 1 << 17
-MARGIN = 0.2  # five standard deviations of an estimate from 160 registers at similarity 0.8
+PIECE = 2000  # rows in work at once
+BLOCK_SHINGLES, COLUMNS = 20_000, 8192
+MARGIN = 0.15  # more than six standard deviations of an estimate from 336 registers at similarity 0.8
 
 
 class _Words(dict):
@@ -125,7 +127,7 @@ def sketches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         import xxhash
 
         words = _Words()
-        for batch in batches:
+        for batch in (b.slice(i, PIECE) for b in batches for i in range(0, b.num_rows, PIECE)):
             sets = [shingle_set(t, words, shingle) for t in batch.column(1).to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
@@ -150,7 +152,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in (b.slice(i, PIECE) for b in batches for i in range(0, b.num_rows, PIECE)):
             sets = [shingle_set(t, words, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -171,10 +173,10 @@ def estimated(pairs: DataFrame, nodes: DataFrame, floor) -> DataFrame:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
             regs = [np.frombuffer(b"".join(get(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("r_a", "r_b")]
             likely = np.concatenate([
-                estimates(regs[0][i : i + 4096], regs[1][i : i + 4096],
-                          get("n_a").to_numpy(zero_copy_only=False)[i : i + 4096].astype(float),
-                          get("n_b").to_numpy(zero_copy_only=False)[i : i + 4096].astype(float))
-                for i in range(0, batch.num_rows, 4096)])
+                estimates(regs[0][i : i + 1024], regs[1][i : i + 1024],
+                          get("n_a").to_numpy(zero_copy_only=False)[i : i + 1024].astype(float),
+                          get("n_b").to_numpy(zero_copy_only=False)[i : i + 1024].astype(float))
+                for i in range(0, batch.num_rows, 1024)])
             yield batch.select(kept).filter(pa.array(likely >= get("floor").to_numpy(zero_copy_only=False) - MARGIN))
 
     return both.mapInArrow(run, pairs.schema)
@@ -187,6 +189,54 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select(*pairs.columns, "common", (F.size("s_a") + F.size("s_b") - F.col("common")).alias("total"))
 
 
+def packed(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(host, members): the rows of a host in blocks of about ``BLOCK_SHINGLES`` shingles."""
+    blocks = rows.groupBy("host").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
+    return (
+        rows.select("host", "node", "away", "component", "similar").join(blocks, "host").join(sets, "node")
+        .groupBy("host", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
+        .agg(F.collect_list(F.struct("node", "away", "component", "similar", "shingles")).alias("members"))
+        .select("host", "members"))
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two blocks of sets, by products of membership matrices."""
+    ids, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    counts = np.zeros((len(left), len(right)))
+    for low in range(0, len(ids), COLUMNS):
+        part = (place >= low) & (place < low + COLUMNS)
+        held = np.zeros((len(left) + len(right), min(COLUMNS, len(ids) - low)), np.float32)
+        held[owner[part], place[part] - low] = 1
+        counts += held[: len(left)] @ held[len(left) :].T
+    return counts.astype(np.int64)
+
+
+def block_links(hosts: DataFrame, guests: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the members of each host's blocks and the members of its guests' blocks."""
+    both = hosts.select("host", F.col("members").alias("left")).join(guests.select("host", F.col("members").alias("right")), "host").drop("host")
+    kind = hosts.schema["members"].dataType.elementType["node"].dataType.simpleString()
+
+    def unpacked(column: pa.ListArray, row: int) -> tuple[pa.StructArray, list[np.ndarray]]:
+        rows = column[row].values
+        shingles = rows.field("shingles")
+        ends = shingles.offsets.to_numpy()
+        values = shingles.values.to_numpy(zero_copy_only=False)
+        return rows, [values[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                (x, xs), (y, ys) = unpacked(batch.column(0), row), unpacked(batch.column(1), row)
+                common = common_counts(xs, ys)
+                total = np.array([len(s) for s in xs])[:, None] + np.array([len(s) for s in ys])[None, :] - common
+                apart = np.array(x.field("component").to_pylist(), object)[:, None] != np.array(y.field("component").to_pylist(), object)[None, :]
+                i, j = np.nonzero((100 * common >= percent * total) & apart)
+                yield pa.RecordBatch.from_arrays([x.field("node").take(pa.array(i)), y.field("node").take(pa.array(j))], ["a", "b"])
+
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5,
                     percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: the component is the smallest id linked with it,
@@ -202,9 +252,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select("node", "n_shingles", "registers", "bands").dropDuplicates(["node"]), "nodes")
 
     rows_of = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
-    centres = rows_of.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n_shingles")).alias("centre"))
-    shared = written(
-        rows_of.join(centres.filter("members > 1").select("key", "centre"), "key"), "shared")
+    sizes = rows_of.select("key").groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    met = written(rows_of.join(sizes, "key"), "met")
+    # the centre of a bucket is its member with the fullest buckets: the one nearest to what its group has in common
+    weight = met.groupBy("node").agg(F.sum("members").alias("weight"))
+    met = met.join(weight, "node").select("key", "node", "n_shingles", "weight")
+    centres = met.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("order"), "node", "n_shingles")).alias("centre"))
+    shared = written(met.join(centres, "key").drop("weight"), "shared")
     candidates = shared.select("node").distinct()
     texts = docs.select(F.col(f"`{id_column}`").alias("node"), F.col(f"`{text_column}`").alias("text"))
     sets = written(shingle_sets(texts.join(candidates.hint("shuffle_hash"), "node", "left_semi"), shingle)
@@ -221,37 +275,32 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # what shares a bucket but not yet a component
     star_of = first.select(F.col("a").alias("node"), F.col("b").alias("star"), (1 - F.col("common") / F.col("total")).alias("away"))
     member = written(
-        nodes.select("node").join(labels, "node", "left").join(star_of, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component"), F.coalesce("star", "node").alias("star"),
+        nodes.select("node", "n_shingles").join(labels, "node", "left").join(star_of, "node", "left").select(
+            "node", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("star", "node").alias("star"),
             F.coalesce("away", F.lit(0.0)).alias("away")), "members")
-    placed = shared.select("key", "node", "n_shingles").join(member, "node")
+    placed = shared.select("key", "node").join(member, "node")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    placed = written(placed.join(mixed, "key"), "mixed")
-    star = placed.groupBy("key", "star").agg(F.min("component").alias("component"))
-    reach = placed.groupBy("star").agg(F.max("away").alias("radius"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"))
-    star = star.join(reach, "star")
+    star = placed.join(mixed, "key").groupBy("key", "star").agg(F.min("component").alias("component"))
+    reach = member.groupBy("star").agg(
+        F.max("away").alias("radius"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.count("*").alias("size"))
+    star = written(star.join(reach, "star"), "stars")
     other = star.select("key", *[F.col(c).alias(f"{c}_2") for c in star.columns if c != "key"])
     floor = F.lit(wanted) - F.col("radius") - F.col("radius_2")
     close = (
         star.join(other, "key")
         .filter("star < star_2 AND component != component_2")
         .filter((F.col("large") * 100 >= F.col("small_2") * percent) & (F.col("large_2") * 100 >= F.col("small") * percent))
-        .select(F.col("star").alias("a"), F.col("star_2").alias("b"), "radius", "radius_2").distinct())
+        .select(F.col("star").alias("a"), F.col("star_2").alias("b"), "radius", "radius_2", "size", "size_2").distinct())
     second = written(verified(estimated(close, nodes, floor), sets), "centres").withColumn("similar", F.col("common") / F.col("total"))
     links = first.select("a", "b").unionByName(second.filter(linked).select("a", "b"))
 
     # stars whose centres are apart, yet near enough that members may link
-    open_pairs = second.filter(~linked & (F.col("radius") + F.col("radius_2") > 0) & (F.col("similar") >= floor - 1e-9))
-    one = placed.select("key", F.col("star").alias("a"), F.col("node").alias("x"), F.col("away").alias("away_x"), F.col("n_shingles").alias("n_x"),
-                        F.col("component").alias("c_x"))
-    two = placed.select("key", F.col("star").alias("b"), F.col("node").alias("y"), F.col("away").alias("away_y"), F.col("n_shingles").alias("n_y"),
-                        F.col("component").alias("c_y"))
-    third = (
-        one.join(open_pairs.select("a", "b", "similar"), "a").join(two, ["key", "b"])
-        .filter(F.col("c_x") != F.col("c_y"))
-        .filter(F.col("away_x") + F.col("away_y") >= F.lit(wanted) - F.col("similar") - 1e-9).filter(fits(F.col("n_x"), F.col("n_y")))
-        .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-    rest = verified(estimated(third, nodes, F.lit(wanted)), sets).filter(linked).select("a", "b")
+    apart = second.filter(~linked & (F.col("radius") + F.col("radius_2") > 0) & (F.col("similar") >= floor - 1e-9)).select(
+        F.when(F.col("size") >= F.col("size_2"), F.col("a")).otherwise(F.col("b")).alias("host"),
+        F.when(F.col("size") >= F.col("size_2"), F.col("b")).otherwise(F.col("a")).alias("guest"), "similar")
+    hosts = apart.select("host").distinct().join(member, F.col("host") == F.col("star")).withColumn("similar", F.lit(0.0))
+    guests = apart.join(member, F.col("guest") == F.col("star"))
+    rest = block_links(packed(hosts, sets), packed(guests, sets), percent)
     labels = components(links.unionByName(rest))
 
     named = classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
