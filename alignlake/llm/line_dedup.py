@@ -61,9 +61,10 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select("row", "version", F.col("lines.h").alias("h"), F.col("lines.at").alias("at"))
         .withColumn("chosen", fingerprints(F.col("h"), window)), "lines")
 
-    marks = (
+    # what was aggregated by a key is stored before it is joined on that key, so that a frequent key's rows can be split
+    marks = written(
         lines.select(F.explode(F.transform(F.array_distinct("chosen"), lambda c: F.col("h")[c])).alias("mark"))
-        .groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"))
+        .groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark"), "marks")
     # one row per run of lines, joined by the fingerprint that it chose
     runs = lines.select(
         "row", "version",
@@ -75,7 +76,8 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     place = F.struct("row", "version", "first")
     origins = runs.groupBy("run", "check").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1")
-    later = runs.join(origins.select("run", "check", "origin"), ["run", "check"]).filter(~place.eqNullSafe(F.col("origin")))
+    origins = written(origins.select("run", "check", "origin"), "origins")
+    later = runs.join(origins, ["run", "check"]).filter(~place.eqNullSafe(F.col("origin")))
     return later.groupBy("row", "version").agg(
         F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("lines"))
 
