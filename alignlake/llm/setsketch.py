@@ -193,7 +193,7 @@ def packed(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(host, members): the rows of a host in blocks of about ``BLOCK_SHINGLES`` shingles."""
     blocks = rows.groupBy("host").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks"))
     return (
-        rows.select("host", "node", "away", "component", "similar").join(blocks, "host").join(sets, "node")
+        rows.select("host", "node", "away", "component", "similar").join(written(blocks, "blocks"), "host").join(sets, "node")
         .groupBy("host", F.pmod(F.xxhash64("node"), "blocks").alias("block"))
         .agg(F.collect_list(F.struct("node", "away", "component", "similar", "shingles")).alias("members"))
         .select("host", "members"))
@@ -252,13 +252,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select("node", "n_shingles", "registers", "bands").dropDuplicates(["node"]), "nodes")
 
     rows_of = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
-    sizes = rows_of.select("key").groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    # what was aggregated by a key is stored before it is joined on that key, so that a frequent key's rows can be split
+    sizes = written(rows_of.select("key").groupBy("key").agg(F.count("*").alias("members")).filter("members > 1"), "sizes")
     met = written(rows_of.join(sizes, "key"), "met")
     # the centre of a bucket is its member with the fullest buckets: the one nearest to what its group has in common
     weight = met.groupBy("node").agg(F.sum("members").alias("weight"))
     met = met.join(weight, "node").select("key", "node", "n_shingles", "weight")
     centres = met.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("order"), "node", "n_shingles")).alias("centre"))
-    shared = written(met.join(centres, "key").drop("weight"), "shared")
+    shared = written(met.join(written(centres, "bucket-centres"), "key").drop("weight"), "shared")
     candidates = shared.select("node").distinct()
     texts = docs.select(F.col(f"`{id_column}`").alias("node"), F.col(f"`{text_column}`").alias("text"))
     sets = written(shingle_sets(texts.join(candidates.hint("shuffle_hash"), "node", "left_semi"), shingle)
@@ -280,10 +281,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             F.coalesce("away", F.lit(0.0)).alias("away")), "members")
     placed = shared.select("key", "node").join(member, "node")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    mixed = written(mixed, "mixed")
     star = placed.join(mixed, "key").groupBy("key", "star").agg(F.min("component").alias("component"))
     reach = member.groupBy("star").agg(
         F.max("away").alias("radius"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.count("*").alias("size"))
-    star = written(star.join(reach, "star"), "stars")
+    star = written(star.join(written(reach, "reach"), "star"), "stars")
     other = star.select("key", *[F.col(c).alias(f"{c}_2") for c in star.columns if c != "key"])
     floor = F.lit(wanted) - F.col("radius") - F.col("radius_2")
     close = (
