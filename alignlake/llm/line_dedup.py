@@ -3,7 +3,8 @@
 A text's lines (cut at line feeds) that hold a word form a sequence; blank lines take no part. A run of ``window`` lines that
 occurred before, in an earlier row or further up in the same text, is a later repeat: every line of it
 is deleted, with the blank lines between them. So any repeated run of at least ``window`` lines goes, at every place but its first, and shorter
-repeats stay. Rows are ordered by id, rows with equal ids by text; the first occurrence is never the copy.
+repeats stay. With ``alone``, a single line of at least that many words that occurred before is such a repeat too, whatever stands around
+it; without it, as the SQL of the registered query has it, single lines stay. Rows are ordered by id, rows with equal ids by text; the first occurrence is never the copy.
 
 1. Winnowing: of every ``window`` consecutive lines the one with the smallest hash (the rightmost of equals) is a
    fingerprint. Equal runs choose equal fingerprints, so each repeated run is guaranteed to hold a shared one, while
@@ -12,6 +13,7 @@ repeats stay. Rows are ordered by id, rows with equal ids by text; the first occ
 3. Around each position that is left, the match is extended both ways over every run of ``window`` lines that chose this
    fingerprint; runs are joined on a hash of all their lines with their first position. No pairs of copies are
    made, and a hash value with very many positions is aggregated before it is shuffled.
+   Lines that may go alone are runs of one line and need no fingerprint.
 4. Deleted lines are gathered per row, and the row's text is rebuilt without them.
 
 Everything is DataFrame functions. Null texts stay null, empty ones empty; texts whose lines all go become empty strings
@@ -34,11 +36,16 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def numbered_lines(text: Column) -> Column:
-    """Lines that hold a word: their text hash and their number among all lines."""
+def n_words(line: Column) -> Column:
+    return F.size(F.filter(F.split(line, f"[{SPACE_CHARS}]+"), lambda w: w != ""))
+
+
+def numbered_lines(text: Column, alone: int | None = None) -> Column:
+    """Lines that hold a word: their text hash and their number among all lines, and a second hash of those that may go alone."""
     return F.filter(
         F.transform(F.split(text, "\n"), lambda x, i: F.struct(
-            F.xxhash64(x).alias("h"), F.when(F.trim(x, F.lit(SPACE_CHARS)) != "", i).alias("at"))),
+            F.xxhash64(x).alias("h"), F.when(F.trim(x, F.lit(SPACE_CHARS)) != "", i).alias("at"),
+            *([] if alone is None else [F.when(n_words(x) >= alone, F.hash(x)).alias("check")]))),
         lambda x: x["at"].isNotNull())
 
 
@@ -52,13 +59,13 @@ def fingerprints(hashes: Column, window: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, alone: int | None = None) -> DataFrame:
     """(row, version, lines): numbers of the lines to delete, for the rows that have any."""
     lines = written(
         docs.select(F.col(f"`{id_column}`").alias("row"), F.xxhash64(F.col(f"`{text_column}`")).alias("version"),
-                    numbered_lines(F.col(f"`{text_column}`")).alias("lines"))
-        .filter(F.size("lines") >= window)
-        .select("row", "version", F.col("lines.h").alias("h"), F.col("lines.at").alias("at"))
+                    numbered_lines(F.col(f"`{text_column}`"), alone).alias("lines"))
+        .filter(F.size("lines") >= (window if alone is None else 1))
+        .select("row", "version", *[F.col(f"lines.{c}").alias(c) for c in ("h", "at", *([] if alone is None else ["check"]))])
         .withColumn("chosen", fingerprints(F.col("h"), window)), "lines")
 
     # what was aggregated by a key is stored before it is joined on that key, so that a frequent key's rows can be split
@@ -72,7 +79,12 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
             F.col("h")[c].alias("mark"), F.col("at")[i].alias("first"), F.col("at")[i + window - 1].alias("last"),
             F.xxhash64(F.slice("h", i + 1, window)).alias("run"), F.hash(F.slice("h", i + 1, window)).alias("check")))).alias("r"),
     ).select("row", "version", "r.*")
-    runs = written(runs.join(marks, "mark", "left_semi").drop("mark"), "runs")
+    runs = runs.join(marks, "mark", "left_semi").drop("mark")
+    if alone is not None:
+        runs = runs.unionByName(lines.select("row", "version", F.explode(F.filter(F.transform("h", lambda h, i: F.struct(
+            F.col("at")[i].alias("first"), F.col("at")[i].alias("last"), F.xxhash64(F.array(h)).alias("run"), F.col("check")[i].alias("check"))),
+            lambda x: x["check"].isNotNull())).alias("r")).select("row", "version", "r.*"))
+    runs = written(runs, "runs")
 
     place = F.struct("row", "version", "first")
     origins = runs.groupBy("run", "check").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1")
@@ -82,9 +94,9 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.array_distinct(F.flatten(F.collect_set(F.sequence("first", "last")))).alias("lines"))
 
 
-def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, alone: int | None = None) -> DataFrame:
     """``docs`` with the repeated runs deleted from the text, and ``n_deleted`` lines per row."""
-    cut = repeated_lines(docs, id_column, text_column, window).select(
+    cut = repeated_lines(docs, id_column, text_column, window, alone).select(
         F.col("row").alias("__row"), F.col("version").alias("__version"), F.col("lines").alias("__lines"))
     marked = docs.withColumn("__text_version", F.xxhash64(F.col(f"`{text_column}`")))
     joined = marked.join(

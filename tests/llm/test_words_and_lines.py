@@ -88,6 +88,29 @@ def test_line_dedup_equals_brute_force(spark, window):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=lambda r: r[0]) == brute_lines(rows, window)
 
 
+def test_long_lines_go_alone_between_differing_neighbours(spark):
+    rnd = random.Random(5)
+    passages = [" ".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (49, 50, 51, 60, 200)]
+    rows = [(i, "\n".join(rnd.choice([*passages, f"own {rnd.random()}", "", "c", "d"]) for _ in range(rnd.randint(0, 9)))) for i in range(100, 160)]
+    rows += [(1, None), (2, ""), (3, passages[3]), (4, passages[3]), (5, f"x {passages[4]}"), (6, f"p\n{passages[2]}\nq\n\n{passages[2]}\nr"), (7, passages[1].replace(" ", " \t"))]
+    seen, want = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        lines, gone = (text or "").split("\n"), set()
+        full = [i for i, x in enumerate(lines) if WORD.search(x)]
+        for i, j in zip(full, [*full[1:], None]):
+            if j is not None:
+                gone |= set(range(i, j + 1)) if (lines[i], lines[j]) in seen else set()
+                seen.add((lines[i], lines[j]))
+            if len(WORD.findall(lines[i])) >= 50:
+                gone |= {i} if lines[i] in seen else set()
+                seen.add(lines[i])
+        want.append((doc_id, None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    got = line_dedup.without_repeats(frame(spark, rows), alone=50).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == want
+    assert sorted((r.doc_id, r.text) for r in line_dedup.without_repeats(frame(spark, rows)).collect()) == brute_lines(rows, 2)
+    assert want[2] == (3, passages[3]) and want[3] == (4, "")
+
+
 def test_line_dedup_of_equal_rows_null_ids_and_empty_tables(spark):
     rows = [(7, "u v\nw x\ny z"), (7, "u v\nw x\ny z"), (None, "u v\nw x"), (8, "y z\nu v\nw x")]
     got = sorted((r.doc_id or -1, r.text) for r in line_dedup.without_repeats(frame(spark, rows)).collect())
