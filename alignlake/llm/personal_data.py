@@ -4,13 +4,14 @@ Base spans come from four expressions with their checks. Tokens with a digit, ``
 nodes of a random field per document with the labels none, email, ip, card, phone:
 
 * node potentials from token shapes, chain potentials between tokens that only white space parts;
-* skip potentials between distant tokens that are equal or similar: same letters and digits, or the
-  same last seven digits. Equal tokens are linked occurrence to occurrence, so a token with k
-  occurrences has k - 1 skip links.
+* skip potentials between tokens that are equal or similar: same letters and digits, or the
+  same last seven digits. Each occurrence is linked to a hub: the first one observed, for each observed label,
+  or the first of all if none is observed. So what one occurrence shows reaches all others over one link, however many there are.
 
-Loopy belief propagation runs over all links of a batch at once. Nodes inside base spans are observed.
+Loopy belief propagation runs over all links of a batch at once, for each document until its messages rest (at most
+``ROUNDS``, for loops that never do). Nodes inside base spans are observed.
 Runs of equally labelled nodes become further spans if the posterior is high, the form allows the
-kind, and either a skip link ties the run to an observed one or the run is a complete number or address.
+kind, and either skip links, over any number of them, tie the run to an observed one of its label or the run is a complete number or address.
 All other tokens have one possible label, none, and need no node.
 
 The field is trained in numpy by pseudo-likelihood on a bounded sample of documents (``SAMPLE_DOCS``, by
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 SAMPLE_DOCS, SAMPLE_NODES = 3000, 200
-ROUNDS, SURE = 12, 0.9
+ROUNDS, STILL, SURE = 1000, 1e-3, 0.9
 SPANS = "array<struct<kind:int,start:int,stop:int,base:boolean>>"
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -124,21 +125,43 @@ def possible(token: str) -> list[bool]:
     return [True, "@" in token, plain and token.count(".") == 3, plain and bool(d), plain and bool(d)]
 
 
-def links(found: list[tuple[int, int, str]], text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain links between neighbours and skip links between equal or similar tokens, by node index."""
+def links(found: list[tuple[int, int, str]], text: str, label: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Chain links between neighbours and skip links from equal or similar tokens to their hubs, by node index."""
     chain = [(i, i + 1) for i in range(len(found) - 1) if not text[found[i][1] : found[i + 1][0]].strip(" \t()")]
-    last: dict[tuple, int] = {}
-    skip = set()
+    groups: dict[tuple, list[int]] = {}
     for i, (_, _, token) in enumerate(found):
         d = only_digits(token)
         keys = [("same", "".join(c for c in token.lower() if c.isalnum()))]
         if len(d) >= 7:
             keys.append(("digits", d[-7:]))
         for key in keys:
-            if key in last and len(key[1]) >= 4:
-                skip.add((last[key], i))
-            last[key] = i
-    return chain, sorted(skip - set(chain))
+            if len(key[1]) >= 4:
+                groups.setdefault(key, []).append(i)
+    skip = set()
+    for members in groups.values():
+        seen: dict[int, int] = {}
+        for i in members:
+            if label[i]:
+                seen.setdefault(label[i], i)
+        hubs = list(seen.values()) or members[:1]
+        skip |= {(min(i, hub), max(i, hub)) for hub in hubs for i in members if i != hub}
+    return chain, sorted(skip)
+
+
+def connected(n: int, pairs: np.ndarray) -> np.ndarray:
+    """The smallest node that each node is linked to, over any number of links."""
+    parent = list(range(n))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in pairs.tolist():
+        a, b = sorted((root(i), root(j)))
+        parent[b] = a
+    return np.array([root(i) for i in range(n)], np.int64)
 
 
 class Graph:
@@ -156,7 +179,7 @@ class Graph:
                 self.spans.append((a, b))
                 self.tokens.append(token)
                 self.label.append(next((kind + 1 for kind, s, e in base[k] if s < b and a < e), 0))
-            c, s = links(found, text) if len(found) > 1 else ([], [])
+            c, s = links(found, text, self.label[offset:]) if len(found) > 1 else ([], [])
             chain += [(i + offset, j + offset) for i, j in c]
             skip += [(i + offset, j + offset) for i, j in s]
         self.chain, self.skip = (np.array(x, np.int64).reshape(-1, 2) for x in (chain, skip))
@@ -209,13 +232,22 @@ def posteriors(graph: Graph, model: dict[str, np.ndarray]) -> np.ndarray:
     pair = np.concatenate([np.broadcast_to(m, (k, LABELS, LABELS)) for m, k in
                            ((model["chain"], c), (model["chain"].T, c), (model["skip"], s), (model["skip"], s))])
     sent = np.zeros((len(ends), LABELS))
+    home = np.array(graph.doc, np.int64)[target]
+    live = np.arange(len(ends))
+    # each document ends by its own messages, so that its result does not depend on the others of the batch
     for _ in range(ROUNDS):
+        if not len(live):
+            break
         belief = own.copy()
-        np.add.at(belief, target, sent)
-        inner = (belief[source] - sent[back])[:, :, None] + pair
+        np.add.at(belief, target[live], sent[live])
+        inner = (belief[source[live]] - sent[back[live]])[:, :, None] + pair[live]
         top = inner.max(1, keepdims=True)
         new = (top + np.log(np.exp(inner - top).sum(1, keepdims=True)))[:, 0]
-        sent = 0.5 * sent + 0.5 * (new - new.max(1, keepdims=True))
+        new = new - new.max(1, keepdims=True)
+        moved = np.zeros(graph.doc[-1] + 1)
+        np.maximum.at(moved, home[live], np.abs(new - sent[live]).max(1))
+        sent[live] = 0.5 * sent[live] + 0.5 * new
+        live = live[moved[home[live]] > STILL]
     belief = own.copy()
     np.add.at(belief, target, sent)
     p = np.exp(belief - belief.max(1, keepdims=True))
@@ -256,9 +288,10 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, int]]], model:
         return more
     p = posteriors(graph, model)
     label = np.where((p.max(1) >= SURE) & (graph.label == 0), p.argmax(1), 0)
-    tied = np.zeros(len(label), bool)
-    for a, b in ((0, 1), (1, 0)):
-        tied[graph.skip[:, a]] |= (graph.label[graph.skip[:, b]] > 0) & (label[graph.skip[:, a]] == graph.label[graph.skip[:, b]])
+    group = connected(len(label), graph.skip)
+    seen = np.zeros((len(label), LABELS), bool)
+    np.logical_or.at(seen, (group, graph.label), graph.label > 0)
+    tied = seen[group, label]
     joined = {int(j) for i, j in graph.chain if label[i] == label[j]}
     i = 0
     while i < len(label):

@@ -69,6 +69,19 @@ def test_the_field_adds_tied_numbers_and_leaves_clean_text_alone():
     assert personal_data.added_spans(probe, base, None) == [[], [], []]
 
 
+def test_every_mention_of_an_observed_number_is_tied_to_it():
+    n = personal_data.LABELS
+    model = {"node": np.zeros((personal_data.FEATURES, n)), "chain": np.zeros((n, n)), "skip": 5 * np.eye(n)}
+    probe = ["call +1 (743) 555-3824 " + "and then 555-3824 or " * 40, "555-3824 and 555-3824 then +1 (743) 555-3824",
+             "now +17435553824 or 555-3824 or 17435553824 it is", "only 555-3824 and 555-3824 here"]
+    base = [personal_data.base_spans(t) for t in probe]
+    added = personal_data.added_spans(probe, base, model)
+    assert [len(x) for x in added] == [40, 2, 2, 0]
+    assert all((k, probe[i][a:b]) in {(3, "555-3824"), (3, "17435553824")} for i, x in enumerate(added) for k, a, b in x)
+    alone = [personal_data.added_spans([t], [b], model)[0] for t, b in zip(probe, base, strict=True)]
+    assert alone == added  # whatever else is in the batch
+
+
 def test_propagation_is_exact_on_a_tree():
     text = ["call 5551234 12 +1 now 5551234"]
     graph = personal_data.Graph(text, [[]])
