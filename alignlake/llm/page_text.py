@@ -4,12 +4,15 @@ A page is cut into blocks at block-level tags. The first pass judges each block
 density of stop words and the share of its characters inside links: ``good``, ``bad``, or undecided
 (``near``: fairly many stop words, ``short``: too little text to tell). The second pass lets undecided
 blocks inherit from their nearest decided neighbours: where both sides agree their label counts; where they
-differ, ``near`` blocks turn good and ``short`` ones bad, unless only one side lies in the same section.
+differ, ``near`` blocks turn good and ``short`` ones bad, unless only one side lies in the same section. Few stop words leave a block as
+undecided as a short one. Where no block of a page has its share of stop words, the page is in another language
+than theirs, and length and links alone decide.
 
 Sections fix what the words cannot show. Navigation, page header and footer, asides, forms, scripts,
 styles and elements whose class, id or role names a menu, sidebar, advert, notice or reader comment
-are bad whatever they say. Where a page has ``<article>`` or ``<main>``, what lies outside is bad, and
-blocks inside that no rule calls bad (few links) are good.
+are bad whatever they say. A name counts if it is what the element is, not what it has or which state that is in
+(``has-sidebar``, ``comments-open``), and never on ``html``, ``body``, ``main`` and ``article``. Where a page has ``<article>`` or ``<main>``, what lies
+outside is bad, and all blocks inside are good, however many links they hold. If all its articles lie in elements so named, those names do not count.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by an empty line. Null and empty pages give an empty text. Repeated rows
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from html import unescape
 
 import pyarrow as pa
@@ -41,9 +44,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BOILERPLATE = frozenset("nav header footer aside form head dialog menu".split())
 MAIN = frozenset("article main".split())
 HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|nav|navbar|navigation|"
+    r"(?<![^\s_-])(?<!\bhas[_-])(?<!\bno[_-])(?<!\bnot[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?<!\bhide[_-])(?<!\bshow[_-])"
+    r"(?:ads?|advert\w*?|sponsor\w*?|promo\w*?|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|nav|navbar|navigation|"
     r"menu|breadcrumbs?|sidebar|side|widget|related|share|social|comments?|disqus|replies|footer|header|masthead|login|search|pagination|"
-    r"skip|toolbar|complementary|contentinfo|alert)(?:$|[\s_-])", re.IGNORECASE)
+    r"skip|toolbar|complementary|contentinfo|alert)(?=$|[\s_-])(?![_-](?:open|opened|closed|enabled|disabled|on|off|visible|hidden)(?:$|[\s_-]))", re.IGNORECASE)
+UNNAMED = frozenset("html body main article".split())
 STOP_WORDS = frozenset(
     "the be to of and that have with a in is it for on as are was this by from or an at not he his her they we you which all but "
     "der die das und ist nicht ein eine zu von mit den im sich auf dem für als auch des es an er sie wir aus bei "
@@ -64,48 +69,50 @@ class Block:
     linked: int  # characters inside links
     main: bool  # inside an article or main element
     fixed: bool  # inside a boilerplate section
+    named: bool  # fixed by nothing but names of elements around its article
     heading: bool
     section: int
 
 
+def hidden(attributes: str) -> bool:
+    return any(name.lower() == "hidden" or name.lower() == "aria-hidden" and value.strip("\"'") == "true"
+               or name.lower() == "style" and re.search(r"display\s*:\s*none", value) for name, value in ATTRIBUTE.findall(attributes))
+
+
 def hinted(attributes: str) -> bool:
-    """Whether class, id or role name boilerplate, or the element is hidden."""
-    for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id", "role") and HINTS.search(value):
-            return True
-    return False
+    """Whether class, id or role name boilerplate."""
+    return any(name.lower() in ("class", "id", "role") and HINTS.search(value.strip("\"'")) for name, value in ATTRIBUTE.findall(attributes))
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks with text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # open elements; whether each starts boilerplate
+    stack: list[tuple[str, bool, bool]] = []  # open elements; whether each starts boilerplate, and does so by its name around an article
     parts: list[tuple[str, bool]] = []
-    state = {"links": 0, "fixed": 0, "main": 0, "heading": 0, "section": 0}
+    state = {"links": 0, "fixed": 0, "named": 0, "main": 0, "heading": 0, "section": 0}
 
     def flush() -> None:
         if parts:
             text = BLANK.sub(" ", unescape("".join(t for t, _ in parts))).strip()
             if text:
                 linked = sum(len(BLANK.sub(" ", unescape(t)).strip()) for t, inside in parts if inside)
-                found.append(Block(text, linked, state["main"] > 0, state["fixed"] > 0, state["heading"] > 0, state["section"]))
+                found.append(Block(text, linked, state["main"] > 0, state["fixed"] > 0,
+                                   state["main"] > 0 and 0 < state["fixed"] == state["named"], state["heading"] > 0, state["section"]))
             parts.clear()
 
-    def count(name: str, bad: bool, step: int) -> None:
+    def count(name: str, bad: bool, around: bool, step: int) -> None:
         state["links"] += step * (name == "a")
         state["fixed"] += step * bad
+        state["named"] += step * around
         state["main"] += step * (name in MAIN)
         state["heading"] += step * (len(name) == 2 and name[0] == "h" and name[1].isdigit())
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            name, bad = stack.pop()
+            name, bad, around = stack.pop()
             if name in BLOCKS:
                 flush()
-            count(name, bad, -1)
+            count(name, bad, around, -1)
 
     at, end, low = 0, len(html), None
     while at < end:
@@ -127,7 +134,7 @@ def blocks(html: str) -> list[Block]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name in BLOCKS:
                 flush()
-            if depth is not None and (name in BLOCKS or not any(n in BLOCKS for n, _ in stack[depth:])):
+            if depth is not None and (name in BLOCKS or not any(n in BLOCKS for n, *_ in stack[depth:])):
                 close(depth)
             continue
         if name in RAW:
@@ -151,32 +158,41 @@ def blocks(html: str) -> list[Block]:
             flush()
             for ended, by in CLOSES.items():
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == ended), None)
-                if name in by and depth is not None and not any(n in ("table", "ul", "ol", "dl", "select") for n, _ in stack[depth + 1 :]):
+                if name in by and depth is not None and not any(n in ("table", "ul", "ol", "dl", "select") for n, *_ in stack[depth + 1 :]):
                     close(depth)
             state["section"] += name in ("section", "div", "article", "main", "aside", "nav", "header", "footer", "form")
         inside = state["main"] > 0
-        bad = name in BOILERPLATE and not (name == "header" and inside) or hinted(m[4])
-        stack.append((name, bad))
-        count(name, bad, 1)
+        by_kind = name in BOILERPLATE and not (name == "header" and inside) or hidden(m[4])
+        by_name = name not in UNNAMED and hinted(m[4])
+        stack.append((name, by_kind or by_name, by_name and not by_kind and not inside))
+        count(*stack[-1], 1)
     close(0)
     flush()
     return found
 
 
-def first_pass(block: Block, has_main: bool) -> str:
+def density(text: str) -> float:
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def heavy(block: Block) -> bool:
+    return block.linked > LINKS * len(block.text)
+
+
+def first_pass(block: Block, has_main: bool, told: bool) -> str:
     if block.fixed or has_main and not block.main:
         return "bad"
-    if block.linked > LINKS * len(block.text):
-        return "bad"
     if has_main:
         return "good"
-    words = WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if heavy(block):
+        return "bad"
     if len(block.text) < SHORT:
         return "bad" if block.linked else "short"
-    if density >= MANY:
+    share = density(block.text)
+    if not told or share >= MANY:
         return "good" if len(block.text) >= LONG else "near"
-    return "near" if density >= FEW else "bad"
+    return "near" if share >= FEW else "short"
 
 
 def second_pass(page: list[Block], labels: list[str]) -> list[bool]:
@@ -211,7 +227,12 @@ def second_pass(page: list[Block], labels: list[str]) -> list[bool]:
 def main_text(html: str | None) -> str:
     page = blocks(html) if html else []
     has_main = any(b.main and not b.fixed for b in page)
-    good = second_pass(page, [first_pass(b, has_main) for b in page])
+    if not has_main and any(b.named for b in page):
+        page = [replace(b, fixed=b.fixed and not b.named) for b in page]
+        has_main = True
+    # whether the stop words are those of the page's language
+    told = has_main or any(len(b.text) >= SHORT and not b.fixed and not heavy(b) and density(b.text) >= FEW for b in page)
+    good = second_pass(page, [first_pass(b, has_main, told) for b in page])
     return "\n\n".join(b.text for b, g in zip(page, good, strict=True) if g)
 
 

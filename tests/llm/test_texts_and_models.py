@@ -257,6 +257,25 @@ def test_page_text(html, text):
     assert got == (text if text is not None else " ".join(html.split()))
 
 
+LINKED = "<p>Before it.</p><ul><li><a href='x'>the first of the sources</a><li><a href='y'>the second</a></ul><p>After it.</p>"
+POLISH = "Rankiem nad rzeką zebrało się wielu mieszkańców miasteczka, ponieważ wieczorem woda gwałtownie wezbrała przez burze oraz ulewy. " * 2
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<html class='no-sidebar'><body class='has-sidebar menu-open'><main id='search'><article class='post comments-open'><p>All of it.</p></article></main>", "All of it."),
+    ("<body><div class='with-sidebar cookie-notice-closed'><article><p>All of it.</p></article></div>", "All of it."),
+    ("<div class='widget'><div id='side'><article><p>All of it.</p><div class='comments'>nice</div></article></div>more</div>", "All of it."),
+    ("<article><p>Post.</p></article><div class='comments-list'><article><p>nice</p></article></div>", "Post."),
+    ("<article><p>Post.</p><div class='post-sidebar'>side</div><div class='ad'>buy</div><div class='ad-slot'>buy</div><div hidden>no</div></article>", "Post."),
+    ("<article><p>Post.</p><div class='menu menu-open'>menu</div><div class='advertisement'>buy</div></article>", "Post."),
+    ("<div hidden><article><p>gone</p></article></div>", ""),
+    (f"<nav><a href='a'>nav</a></nav><article>{LINKED}</article>", "Before it.\n\nthe first of the sources\n\nthe second\n\nAfter it."),
+    (f"<nav><a href='a'>home page</a></nav><div><p>{POLISH}</p></div>", POLISH.strip()),
+])
+def test_names_links_and_languages_drop_nothing_of_an_article(html, text):
+    assert page_text.main_text(html) == text
+
+
 def test_undecided_blocks_take_after_their_neighbours():
     good = "The people of the town have been in this place for a long time and it is not known to them that there was a house on the hill, but they will "
     long = f"<p>{good * 3}</p>"
