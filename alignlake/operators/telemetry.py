@@ -200,41 +200,75 @@ def early_stopping(df: DataFrame, value: str, keys: Sequence[str] = RUN_STAGE, o
     """Where a run stops when ``patience`` values in a row fail to beat the best by ``min_delta``.
 
     Higher is better. The best value only moves on a sufficient improvement, so the state depends on
-    the path and has to be folded in order. Only a bounded start of a series can matter: every
-    improvement adds more than ``min_delta`` and at most ``patience`` rows lie between two of them, so
-    ``patience * (range / min_delta + 3)`` rows decide, and only those are gathered.
+    the path and has to be followed in order. Only a record, a value above all before it, can move it.
+    Each chunk of rows is followed on its own from every record at which the path may enter it, one of its first
+    ``patience`` rows; per series only the ways through its chunks are gathered and put together, never its rows.
     """
     if min_delta <= 0:
         raise ValueError("min_delta must be positive; running_best covers the case without one")
     indexed = _series(df, value, keys, order_by, keep_nan=True, rows_per_bucket=rows_per_bucket)
-    chunked = written(indexed, "indexed").withColumn("_chunk", F.floor(F.col("idx") / rows_per_bucket).cast("bigint"))
-    finite = F.when(~not_finite(F.col("value")), F.col("value"))
-    bounded = attach_group_values(
-        chunked, keys, {"_low": F.min(finite), "_high": F.max(finite)},
-        {"_low": F.min("_low"), "_high": F.max("_high")})
-    base = F.lit(start) if abs(start) != INF else F.col("_low")
-    picks = F.floor(F.greatest(F.coalesce(F.col("_high") - base, F.lit(0.0)), F.lit(0.0)) / min_delta)
-    decisive = bounded.filter(F.col("idx") < patience * (picks + 4))
-    ordered = decisive.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("idx", "value", "seq"))).alias("_points"), F.max("n").alias("rows"))
+    indexed = written(indexed, "indexed")
+    ways = stopping_ways(indexed, keys, min_delta, patience, start, rows_per_bucket)
+    entered = F.when(F.size("_ways") > 0, F.struct("_chunk", "_ways"))
+    ordered = ways.groupBy(*keys).agg(F.sort_array(F.collect_list(entered)).alias("_chunks"), F.max("n").alias("rows"))
     open_state = F.struct(
-        F.lit(start).alias("best"), F.lit(0).alias("counter"), F.lit(None).cast("bigint").alias("at"),
-        F.lit(None).cast("bigint").alias("seq"))
-
-    def step(state: Column, point: Column) -> Column:
-        better = ~F.isnan(point["value"]) & (point["value"] > state["best"] + min_delta)
-        counter = F.when(better, 0).otherwise(state["counter"] + 1)
-        stops = counter >= patience
-        moved = F.struct(
-            F.when(better, point["value"]).otherwise(state["best"]).alias("best"), counter.alias("counter"),
-            F.when(stops, point["idx"]).alias("at"), F.when(stops, point["seq"].cast("bigint")).alias("seq"))
-        return F.when(state["at"].isNotNull(), state).otherwise(moved)
-
-    folded = ordered.withColumn("_state", F.aggregate("_points", open_state, step))
-    return folded.select(
-        *keys, "rows", F.col("_state.best").alias("best"), F.col("_state.counter").alias("patience_counter"),
-        F.col("_state.at").isNotNull().alias("stopped"), F.col("_state.at").alias("stop_index"),
-        F.col("_state.seq").alias("stop_seq"))
+        F.lit(float(start)).alias("best"), F.lit(-1).cast("bigint").alias("last"), F.lit(None).cast("bigint").alias("at"))
+
+    def step(state: Column, chunk: Column) -> Column:
+        way = F.get(F.filter(chunk["_ways"], lambda w: w["first"] > state["best"] + min_delta), F.lit(0))
+        in_time = way["entry"] - state["last"] <= patience
+        moved = F.struct(way["best"].alias("best"), way["last"].alias("last"), way["at"].alias("at"))
+        late = F.struct(state["best"].alias("best"), state["last"].alias("last"), (state["last"] + patience).alias("at"))
+        return F.when(state["at"].isNotNull() | way.isNull(), state).when(in_time, moved).otherwise(late)
+
+    at = F.coalesce(F.col("_state.at"), F.when(F.col("_state.last") + patience < F.col("rows"), F.col("_state.last") + patience))
+    folded = ordered.withColumn("_state", F.aggregate("_chunks", open_state, step)).select(
+        *keys, "rows", F.col("_state.best").alias("best"), F.col("_state.last").alias("_last"), at.alias("stop_index"))
+    # the row at which a series stops is looked up by its position
+    rows = indexed.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], F.col("idx").alias("_idx"), F.col("seq").cast("bigint").alias("stop_seq"))
+    same = F.col("_idx") == F.col("stop_index")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    return folded.join(rows, same, "left").select(
+        *keys, "rows", "best",
+        F.when(F.col("stop_index").isNotNull(), patience).otherwise(F.col("rows") - 1 - F.col("_last")).cast("int").alias("patience_counter"),
+        F.col("stop_index").isNotNull().alias("stopped"), "stop_index", "stop_seq")
+
+
+def stopping_ways(indexed: DataFrame, keys: Sequence[str], min_delta: float, patience: int, start: float,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(keys, _chunk, n, _ways): per chunk of rows the ways of an early stopping through it, by the record they enter at.
+
+    A way has its ``entry`` and the value there, the ``best`` value and the row of the ``last`` improvement in the chunk, and
+    where it stops if a record of the chunk shows it.
+    """
+    size = max(rows_per_bucket, 1)
+    chunked = indexed.withColumn("_chunk", F.floor(F.col("idx") / size).cast("bigint"))
+    number = F.when(~F.isnan("value"), F.col("value"))
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    record = (number > start + min_delta) & F.coalesce(number > F.max(number).over(in_chunk), F.lit(True))
+    points = written(chunked.withColumn("_point", F.when(record, F.struct("idx", "value"))).groupBy(*keys, "_chunk").agg(
+        F.sort_array(F.collect_list("_point")).alias("_points"), F.max(number).alias("_high"), F.max("n").alias("n")), "points")
+    points = points.withColumn("_group", F.struct(*keys, "_chunk"))
+    # only the highest values of the chunks meet in one task, not their records
+    before = (Window.partitionBy(*[F.col("_group")[k] for k in keys]).orderBy(F.col("_group")["_chunk"])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carried = points.select("_group", F.max("_high").over(before).alias("_before"))
+    records = points.join(carried, "_group").withColumn("_points", F.filter(
+        "_points", lambda p: F.coalesce(p["value"] > F.col("_before"), F.lit(True))))
+    none = F.array().cast("array<struct<entry:bigint,first:double,best:double,last:bigint,at:bigint>>")
+
+    def way(entry: Column, first: Column, best: Column, last: Column, at: Column) -> Column:
+        return F.struct(entry.alias("entry"), first.alias("first"), best.alias("best"), last.alias("last"), at.alias("at"))
+
+    def step(ways: Column, point: Column) -> Column:
+        moved = F.transform(ways, lambda w: F.when(w["at"].isNotNull(), w).when(
+            point["idx"] - w["last"] > patience, way(w["entry"], w["first"], w["best"], w["last"], w["last"] + patience)).when(
+            point["value"] > w["best"] + min_delta, way(w["entry"], w["first"], point["value"], point["idx"], w["at"])).otherwise(w))
+        opened = way(point["idx"], point["value"], point["value"], point["idx"], F.lit(None).cast("bigint"))
+        return F.concat(moved, F.when(point["idx"] % size < patience, F.array(opened)).otherwise(none))
+
+    return records.select(*keys, "_chunk", "n", F.aggregate("_points", none, step).alias("_ways"))
 
 
 def series_long(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = RUN_STAGE,

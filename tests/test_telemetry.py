@@ -126,6 +126,24 @@ def test_early_stopping(spark, delta, patience, start, rows_per_bucket):
         assert got[run] == stop(values, delta, patience, start), run
 
 
+def test_early_stopping_gathers_no_series(spark):
+    rng = random.Random(12)
+    noise = [rng.random() for _ in range(3000)]
+    series = {
+        1: [*noise[:2999], 1e12], 2: [1e12, *noise], 3: [i / 7 for i in range(3000)], 4: [i / 1e5 for i in range(3000)],
+        5: [NAN] * 300, 6: [-INF, INF, *noise[:100]], 7: [i + rng.random() * 30 for i in range(3000)], 8: [*noise[:120], 1e12, *noise[:120]],
+    }
+    df = frame(spark, series, "score")
+    for delta, patience, start in ((0.01, 7, 0.0), (0.01, 400, -INF), (2.0, 3, -INF), (0.001, 130, 0.0)):
+        got = by_run(telemetry.early_stopping(df, "score", min_delta=delta, patience=patience, start=start, rows_per_bucket=100),
+                     "best", "patience_counter", "stop_index")
+        assert got == {run: stop(values, delta, patience, start) for run, values in series.items()}
+    indexed = telemetry._series(df, "score", telemetry.RUN_STAGE, "seq", keep_nan=True, rows_per_bucket=100)
+    ways = telemetry.stopping_ways(indexed, telemetry.RUN_STAGE, 0.01, 7, 0.0, 100).selectExpr("run_id", "size(_ways) AS k").collect()
+    per_run = {run: sum(r.k for r in ways if r.run_id == run) for run in series}
+    assert max(r.k for r in ways) <= 7 and per_run[1] <= 20 and per_run[3] <= 30 * 7
+
+
 def test_early_stopping_needs_a_delta(spark):
     with pytest.raises(ValueError):
         telemetry.early_stopping(frame(spark, {1: [1.0]}), "loss", min_delta=0)
