@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alignlake.llm import decontaminate, language_id, line_dedup, page_text, personal_data, piece_codec, quality_rules, secret_ledger, setsketch, token_files
+from alignlake.llm import corpus_queries, decontaminate, language_id, line_dedup, page_text, personal_data, piece_codec, quality_rules, secret_ledger, setsketch, token_files
 from alignlake.sources.readers import spread
 
 
@@ -135,8 +135,8 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op3_byte_gru_language, op4_secret_ledger, op5_token_files, op6_line_winnowing, op7_piece_codec, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)}
-ORACLES = {"op1_quality_rules": SQL_OP1, "op6_line_winnowing": SQL_OP6, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_skip_chain_pii, op3_byte_gru_language, op4_secret_ledger, op5_token_files, op6_line_winnowing, op7_piece_codec, op8_setsketch_near_dedup, op9_spaced_seed_decontamination, op10_page_text)} | corpus_queries.QUERIES
+ORACLES = {"op1_quality_rules": SQL_OP1, "op6_line_winnowing": SQL_OP6, "op8_setsketch_near_dedup": SQL_OP8, "op9_spaced_seed_decontamination": SQL_OP9} | corpus_queries.ORACLES
 
 
 def pipeline_queries() -> dict:
