@@ -4,7 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alignlake.llm import conversation_trie
+from alignlake.llm import collocations, conversation_trie
+from alignlake.sources.readers import spread
+
+
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")))
+
+
+SQL_OP11 = r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents),
+  w AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM t),
+  g AS (SELECT lang, w[i : i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (
+    SELECT lang, w, unnest([1, 2, 3, 4]) AS k FROM w) WHERE len(w) >= k)),
+  f AS (SELECT lang, p, count(*) AS f FROM g GROUP BY lang, p),
+  n AS (SELECT lang, sum(f) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+  c AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND f >= 30),
+  s AS (SELECT lang, q AS p, max(a) AS around FROM (SELECT lang, a, p[i : i + k - 1] AS q FROM (
+      SELECT lang, a, p, k, unnest(range(1, len(p) - k + 2)) AS i FROM (SELECT lang, a, p, unnest(range(2, len(p))) AS k FROM c WHERE len(p) > 2)))
+    GROUP BY lang, q),
+  d AS (SELECT c.* FROM c LEFT JOIN s ON s.lang = c.lang AND s.p = c.p WHERE s.around IS NULL OR 100 * s.around < 80 * c.a),
+  k AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM d),
+  o AS (SELECT k.*, x.f AS l, y.f AS r, CAST(k.a AS HUGEINT) * 2000000 // (x.f + y.f) AS score FROM k
+    JOIN f x ON x.lang = k.lang AND x.p = k.p[1 : k.k] JOIN f y ON y.lang = k.lang AND y.p = k.p[k.k + 1 :]),
+  b AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM o QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b JOIN n ON n.lang = b.lang QUALIFY rank <= 2000"""
 
 
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,5 +64,5 @@ SELECT l.first AS conv_id, l.depth, u.first AS parent_conv_id, l.n AS n_convs, c
   b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, coalesce(d.h, sha256('')) AS ends_sha256
 FROM l LEFT JOIN n u ON u.node = l.up LEFT JOIN k ON k.node = l.node JOIN b ON b.node = l.node LEFT JOIN d ON d.node = l.node"""
 
-QUERIES = {f.__name__: f for f in (op13_conversation_trie,)}
-ORACLES = {"op13_conversation_trie": SQL_OP13}
+QUERIES = {f.__name__: f for f in (op11_phrase_collocations, op13_conversation_trie)}
+ORACLES = {"op11_phrase_collocations": SQL_OP11, "op13_conversation_trie": SQL_OP13}
