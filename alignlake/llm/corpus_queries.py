@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from alignlake.llm import collocations, conversation_trie
+from alignlake.llm import collocations, conversation_trie, license_scan
 from alignlake.sources.readers import spread
 
 
@@ -33,6 +33,10 @@ SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DES
 FROM b JOIN n ON n.lang = b.lang QUALIFY rank <= 2000"""
 
 
+def op12_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -64,5 +68,5 @@ SELECT l.first AS conv_id, l.depth, u.first AS parent_conv_id, l.n AS n_convs, c
   b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, coalesce(d.h, sha256('')) AS ends_sha256
 FROM l LEFT JOIN n u ON u.node = l.up LEFT JOIN k ON k.node = l.node JOIN b ON b.node = l.node LEFT JOIN d ON d.node = l.node"""
 
-QUERIES = {f.__name__: f for f in (op11_phrase_collocations, op13_conversation_trie)}
+QUERIES = {f.__name__: f for f in (op11_phrase_collocations, op12_license_diagonals, op13_conversation_trie)}
 ORACLES = {"op11_phrase_collocations": SQL_OP11, "op13_conversation_trie": SQL_OP13}

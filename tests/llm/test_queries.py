@@ -18,10 +18,10 @@ def test_query_matches_sql(spark, sf_dir, name):
     assert difference(queries.QUERIES[name](spark, sf_dir), sf_dir, queries.ORACLES[name]) is None
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     import __spark_entry__
 
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
 
 
