@@ -8,13 +8,14 @@
    probability below ``(1 - 0.8 ** rows) ** bands``: 1.2e-5 at the threshold itself with the defaults, 1e-8 at 0.85.
 4. Inside a bucket, each class is compared with one centre only, the member whose buckets are fullest. Classes that remain in different
    components are compared by centre: the Jaccard distance is a metric, so two stars can hold a link only
-   if the distance of their centres is at most the wanted distance plus both radii. Only such stars are
-   opened, and their members compared in blocks (a matrix product for some hundred members at once). No bucket is ever expanded into all its pairs of members.
+   if the distance of their centres is at most the wanted distance plus both radii. Such centres share one of their rarest
+   shingles, on which they are joined; texts that share a frequent template and no more never meet. Only stars that are near enough are
+   opened, and their members compared in blocks (a matrix product for some hundred members at once).
 5. A pair's similarity is first estimated jointly from both sketches by maximum likelihood; pairs far
    below the threshold are dropped, the rest is verified on the full sets.
 
 Null texts and texts without words have the empty set: they link with nothing, are their own component
-and are kept. Equal texts always meet in one class. Rows with the same id share a component. Rows with a
+and are kept. Equal texts always meet in one class. Rows with the same id and words share a component, also where their texts differ. Rows with a
 null id get a null component and are kept. Other columns of the input are ignored. An empty table gives an
 empty result.
 """
@@ -37,6 +38,8 @@ WORD_CACHE = 250_000
 BLOCK = 1 << 17
 PIECE = 2000  # rows in work at once
 BLOCK_SHINGLES, COLUMNS = 20_000, 8192
+RARITY = 1 << 18  # places of the table of shingle counts
+SMALL = 16  # members up to which a star is opened at once
 MARGIN = 0.15  # more than six standard deviations of an estimate from 336 registers at similarity 0.8
 
 
@@ -147,17 +150,58 @@ def sketches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         run, f"node {kind}, n_shingles bigint, digest binary, registers binary, bands array<bigint>")
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) for rows of (node, text)."""
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of a column of texts: the set, and its digest as its name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         words = _Words()
         for batch in (b.slice(i, PIECE) for b in batches for i in range(0, b.num_rows, PIECE)):
-            sets = [shingle_set(t, words, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+            sets = [shingle_set(t, words, shingle) for t in batch.column(0).to_pylist()]
+            names = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([names, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return texts.select(F.col("text").cast("binary")).mapInArrow(run, "node binary, shingles array<bigint>")
 
-    kind = docs.schema["node"].dataType.simpleString()
-    return docs.select("node", F.col("text").cast("binary")).mapInArrow(run, f"node {kind}, shingles array<bigint>")
+
+def prefixes(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``stars`` once per shingle that may be the first one that its centre shares with a set at least as similar as asked.
+
+    Shingles are put in an order of rarity (by counts in a table of ``RARITY`` places, then by hash): two sets with a similarity of f
+    share one among the first ``n - ceil(f * n) + 1`` of each. ``reach`` is the highest f for which a shingle is among these.
+    What many sets have in common stands last, so sets that share no more than that never meet.
+    """
+    held = written(stars.join(sets, F.col("star") == F.col("node")).drop("node"), "star-sets")
+    counts = held.select(F.explode("shingles").alias("s")).groupBy(F.col("s").bitwiseAND(F.lit(RARITY - 1)).alias("at")).agg(F.count("*").alias("n"))
+    rarity = np.zeros(RARITY, np.int64)
+    known = counts.toArrow()  # at most RARITY rows
+    rarity[known.column("at").to_numpy()] = known.column("n").to_numpy()
+    widest = float(held.agg(F.max("radius")).first()[0] or 0)
+    names = [c for c in held.columns if c != "shingles"]
+    radius = names.index("radius")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            rows, found, reach = [], [], []
+            column, radii = batch.column(len(names)), batch.column(radius).to_numpy(zero_copy_only=False)
+            for i in range(batch.num_rows):
+                values = column[i].values.to_numpy(zero_copy_only=False)
+                n = len(values)
+                least = percent / 100 - radii[i] - widest - 1e-9
+                size = min(n, n - int(np.ceil(max(least, 0) * n)) + 1)
+                order = np.lexsort((values, rarity[values & (RARITY - 1)]))[:size]
+                rows.append(np.full(size, i))
+                found.append(values[order])
+                reach.append((n - np.arange(size)) / n)
+            if rows:
+                take = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(take) for k in range(len(names))], pa.array(np.concatenate(found)), pa.array(np.concatenate(reach))],
+                    [*names, "shingle", "reach"])
+
+    kinds = ", ".join(f"{c} {held.schema[c].dataType.simpleString()}" for c in names)
+    return held.select(*names, "shingles").mapInArrow(run, f"{kinds}, shingle bigint, reach double")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, floor) -> DataFrame:
@@ -246,10 +290,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     wanted = percent / 100
 
     sketched = written(sketches(docs, id_column, text_column, shingle, bands, rows), "sketches")
-    classes = written(sketched.filter("n_shingles > 0").groupBy("digest").agg(F.min("node").alias("node")), "classes")
+    classes = written(sketched.filter("n_shingles > 0").groupBy("digest").agg(F.min("node").alias("first")), "classes")
     nodes = written(
-        sketched.join(classes.select("node").distinct(), "node", "left_semi").filter("n_shingles > 0")
-        .select("node", "n_shingles", "registers", "bands").dropDuplicates(["node"]), "nodes")
+        sketched.filter("n_shingles > 0").select(F.col("node").alias("id"), F.col("digest").alias("node"), "n_shingles", "registers", "bands")
+        .join(classes.select(F.col("first").alias("id")).distinct(), "id", "left_semi").drop("id").dropDuplicates(["node"]), "nodes")
 
     rows_of = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
     # what was aggregated by a key is stored before it is joined on that key, so that a frequent key's rows can be split
@@ -260,39 +304,56 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     met = met.join(weight, "node").select("key", "node", "n_shingles", "weight")
     centres = met.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("order"), "node", "n_shingles")).alias("centre"))
     shared = written(met.join(written(centres, "bucket-centres"), "key").drop("weight"), "shared")
-    candidates = shared.select("node").distinct()
-    texts = docs.select(F.col(f"`{id_column}`").alias("node"), F.col(f"`{text_column}`").alias("text"))
-    sets = written(shingle_sets(texts.join(candidates.hint("shuffle_hash"), "node", "left_semi"), shingle)
+    candidates = shared.select(F.col("node").alias("digest")).distinct().join(classes, "digest").select(F.col("first").alias("id")).distinct()
+    texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
+    sets = written(shingle_sets(texts.join(candidates.hint("shuffle_hash"), "id", "left_semi"), shingle)
                    .dropDuplicates(["node"]), "sets")
 
     # each class with the centre that it shares most buckets with
     stars = (
         shared.filter((F.col("node") != F.col("centre.node")) & fits(F.col("n_shingles"), F.col("centre.n_shingles")))
         .groupBy(F.col("node").alias("a"), F.col("centre.node").alias("b")).agg(F.count("*").alias("n"))
-        .groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
+        .groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")))
     first = written(verified(estimated(stars, nodes, F.lit(wanted)), sets).filter(linked), "links")
     labels = components(first)
 
     # what shares a bucket but not yet a component
     star_of = first.select(F.col("a").alias("node"), F.col("b").alias("star"), (1 - F.col("common") / F.col("total")).alias("away"))
-    member = written(
+    starred = written(
         nodes.select("node", "n_shingles").join(labels, "node", "left").join(star_of, "node", "left").select(
             "node", "n_shingles", F.coalesce("component", "node").alias("component"), F.coalesce("star", "node").alias("star"),
-            F.coalesce("away", F.lit(0.0)).alias("away")), "members")
+            F.coalesce("away", F.lit(0.0)).alias("away")), "stars")
+    # members of a small star stand for themselves, so that only large ones have a radius
+    large = written(starred.groupBy("star").agg(F.count("*").alias("n")).filter(F.col("n") > SMALL).select("star"), "large")
+    member = written(starred.join(large.withColumn("whole", F.lit(True)), "star", "left").select(
+        "node", "n_shingles", "component", F.when(F.col("whole"), F.col("star")).otherwise(F.col("node")).alias("star"),
+        F.when(F.col("whole"), F.col("away")).otherwise(0.0).alias("away")), "members")
     placed = shared.select("key", "node").join(member, "node")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     mixed = written(mixed, "mixed")
-    star = placed.join(mixed, "key").groupBy("key", "star").agg(F.min("component").alias("component"))
+    star = written(placed.join(mixed, "key").groupBy("star").agg(F.min("component").alias("component")), "open-stars")
     reach = member.groupBy("star").agg(
         F.max("away").alias("radius"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.count("*").alias("size"))
-    star = written(star.join(written(reach, "reach"), "star"), "stars")
-    other = star.select("key", *[F.col(c).alias(f"{c}_2") for c in star.columns if c != "key"])
+    met_at = prefixes(star.join(reach, "star"), sets, percent)
+    often = written(met_at.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle"), "shingles")
+    met_at = written(met_at.join(often, "shingle"), "prefixes")
+    facts = [c for c in met_at.columns if c not in ("shingle", "star")]
     floor = F.lit(wanted) - F.col("radius") - F.col("radius_2")
-    close = (
-        star.join(other, "key")
-        .filter("star < star_2 AND component != component_2")
-        .filter((F.col("large") * 100 >= F.col("small_2") * percent) & (F.col("large_2") * 100 >= F.col("small") * percent))
-        .select(F.col("star").alias("a"), F.col("star_2").alias("b"), "radius", "radius_2", "size", "size_2").distinct())
+
+    def meetings(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Pairs of centres that share a shingle and may be near enough, each once."""
+        right = right.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("star", *facts)])
+        pairs = left.join(right, "shingle").filter(
+            (F.col("star") != F.col("star_2")) & (F.col("component") != F.col("component_2"))
+            & (F.col("large") * 100 >= F.col("small_2") * percent) & (F.col("large_2") * 100 >= F.col("small") * percent)
+            & (F.col("reach") >= floor - 1e-9) & (F.col("reach_2") >= floor - 1e-9))
+        ahead = F.col("star") < F.col("star_2")
+        side = lambda c, d: F.when(ahead, F.col(c)).otherwise(F.col(d))
+        return pairs.select(side("star", "star_2").alias("a"), side("star_2", "star").alias("b"), *[
+            c for name in ("radius", "size") for c in (side(name, f"{name}_2").alias(name), side(f"{name}_2", name).alias(f"{name}_2"))])
+
+    narrow = met_at.filter(F.col("reach") >= wanted - 1e-9)
+    close = meetings(narrow, narrow).unionByName(meetings(met_at.filter("radius > 0"), met_at)).distinct()
     second = written(verified(estimated(close, nodes, floor), sets), "centres").withColumn("similar", F.col("common") / F.col("total"))
     links = first.select("a", "b").unionByName(second.filter(linked).select("a", "b"))
 
@@ -303,12 +364,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     hosts = apart.select("host").distinct().join(member, F.col("host") == F.col("star")).withColumn("similar", F.lit(0.0))
     guests = apart.join(member, F.col("guest") == F.col("star"))
     rest = block_links(packed(hosts, sets), packed(guests, sets), percent)
-    labels = components(links.unionByName(rest))
 
-    named = classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    empty = F.col("n_shingles") == 0
+    # texts of one id belong together
+    several = sketched.filter("n_shingles > 0 AND node IS NOT NULL").groupBy("node").agg(
+        F.min("digest").alias("a"), F.max("digest").alias("z")).filter("a < z").select("node", "a")
+    same_id = sketched.filter("n_shingles > 0").join(several, "node").select("a", F.col("digest").alias("b")).filter("a != b")
+    labels = components(links.unionByName(rest).unionByName(same_id))
+
+    named = classes.join(labels, F.col("digest") == F.col("node"), "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
+    lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = written(named.join(written(lowest, "lowest"), "component").select("digest", "component_id"), "named")
     return (
-        sketched.select("node", "n_shingles", F.when(~empty, F.col("digest")).alias("digest")).join(named, "digest", "left")
+        sketched.select("node", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(named, "digest", "left")
         .select(F.col("node").alias(id_column), "n_shingles",
-                F.when(F.col("node").isNotNull(), F.coalesce("component", "node")).alias("component_id"))
+                F.when(F.col("node").isNotNull(), F.coalesce("component_id", "node")).alias("component_id"))
         .withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))))

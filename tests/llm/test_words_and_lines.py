@@ -222,6 +222,27 @@ def test_near_duplicates_of_repeated_and_null_ids_and_an_empty_table(spark):
     assert setsketch.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_texts_of_one_id_share_a_component(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(5, a), (5, b), (3, f"{b} more"), (9, f"{a} more"), (7, c), (8, ""), (8, None), (5, "")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in setsketch.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {(5, 36): 3, (3, 37): 3, (9, 37): 3, (7, 36): 7, (8, 0): 8, (5, 0): 5}
+
+
+def test_texts_that_share_a_template_never_meet(spark, monkeypatch):
+    rnd, met, estimated = random.Random(11), [], setsketch.estimated
+    template = [f"t{i}" for i in range(65)]
+    rows = [(i, " ".join([*template, *(f"o{rnd.randrange(10**9)}" for _ in range(35))])) for i in range(2000)]
+    for k in range(60):  # some of them with near copies
+        words = rows[k][1].split()
+        words[70] = "changed"
+        rows.append((3000 + k, " ".join(words)))
+    monkeypatch.setattr(setsketch, "estimated", lambda pairs, *rest: met.append(pairs.count()) or estimated(pairs, *rest))
+    got = {r.doc_id: r.component_id for r in setsketch.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: i - 3000 if i >= 3000 else i for i, _ in rows}
+    assert met[0] <= len(rows) and met[1] < 1000
+
+
 def test_sketch_estimates_follow_the_similarity():
     rnd = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.8, 0.95):
