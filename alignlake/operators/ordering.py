@@ -43,12 +43,13 @@ def with_running_total(df: DataFrame, order_by: str | Sequence[str], keys: Seque
     """Sum of ``weight`` over all earlier rows of the series (exclusive, so the first row gets 0).
 
     ``order_by`` names one or more columns of any orderable type that together are unique inside a series (rows with equal keys
-    lie in one range and get positions in no further order). ``total`` names an optional column for the sum over the whole series.
+    lie in one range and get positions in no further order). Ranges are cut by order and keys, so one place of many series, such as
+    the first turn of all conversations, is spread over many ranges. ``total`` names an optional column for the sum over the whole series.
     """
     keys = list(keys)
     amount = F.lit(1).cast("bigint") if weight is None else weight
     weighed = (
-        with_bucket(df, order_by, rows_per_bucket=rows_per_bucket)
+        with_bucket(df, [*_columns(order_by), *(k for k in keys if k not in _columns(order_by))], rows_per_bucket=rows_per_bucket)
         .withColumn("_weight", amount)
         .withColumn("_group", F.struct(*keys, "_bucket"))
     )

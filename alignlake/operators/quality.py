@@ -32,8 +32,16 @@ def with_quality(df: DataFrame, source: str, out: str = "quality", harmful: str
             "_unsafe": flag,
         })
     )
+    return with_score(staged.drop("_clean", "_lower", "_words"), out)
+
+
+def with_score(facts: DataFrame, out: str = "quality") -> DataFrame:
+    """The score of a text from its facts: characters, words, distinct words, pieces between full stops, words in these, unsafe words.
+
+    The fact columns (``_size``, ``_count``, ``_distinct``, ``_pieces``, ``_sentence_words``, ``_unsafe``) are dropped.
+    """
     size, count, pieces = F.col("_size"), F.col("_count"), F.col("_pieces")
-    staged = staged.withColumns({
+    staged = facts.withColumns({
         "_variety": F.col("_distinct") / F.greatest(count, F.lit(1)),
         "_mean_words": F.col("_sentence_words") / F.greatest(pieces, F.lit(1)),
     })
@@ -49,8 +57,7 @@ def with_quality(df: DataFrame, source: str, out: str = "quality", harmful: str
     for factor in factors[1:]:
         score = score * factor
     return staged.withColumn(out, F.when(size == 0, 0.0).otherwise(score)).drop(
-        "_clean", "_lower", "_words", "_size", "_count", "_distinct", "_pieces", "_sentence_words", "_unsafe",
-        "_variety", "_mean_words")
+        "_size", "_count", "_distinct", "_pieces", "_sentence_words", "_unsafe", "_variety", "_mean_words")
 
 
 def band(score: Column) -> Column:

@@ -34,12 +34,18 @@ def validation_report(df: DataFrame, kind: str, error_share: float = 0.05, warni
 
     Every row is checked. An empty table is not valid.
     """
+    checked = raw_checks(df, kind)
+    return validation_summary(checked.select("is_valid", F.size("warnings").alias("notes"), "quality"), error_share, warning_share)
+
+
+def validation_summary(checked: DataFrame, error_share: float = 0.05, warning_share: float = 0.20) -> DataFrame:
+    """The report of rows that are checked already: ``is_valid``, the number of ``notes`` and the ``quality`` of each."""
     score = F.col("quality")
     bands = [F.count_if(quality.band(score) == name).alias(f"{name}_rows") for name in quality.BANDS]
-    facts = raw_checks(df, kind).agg(
+    facts = checked.agg(
         F.count("*").alias("total"), F.count_if("is_valid").alias("valid"),
         F.count_if(~F.col("is_valid")).alias("invalid"),
-        F.coalesce(F.sum(F.size("warnings")), F.lit(0)).alias("content_warnings"),
+        F.coalesce(F.sum("notes"), F.lit(0)).alias("content_warnings"),
         F.avg(score).alias("avg_quality"), F.min(score).alias("min_quality"), F.max(score).alias("max_quality"),
         F.coalesce(F.stddev_samp(score), F.lit(0.0)).alias("std_quality"),
         *bands)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from alignlake.functions import chat, text
 from alignlake.operators import ordering
+from alignlake.session import written
 
 PAD, UNKNOWN, MASKED = 0, 1, -100
 # Ids of the reserved tokens; corpus tokens follow, most frequent first.
@@ -17,6 +18,7 @@ RESERVED = ["<pad>", "<unk>", "<|system|>", "<|user|>", "<|assistant|>", "<|end|
 # Texts that start an answer when a chat has no assistant marker, in search order.
 ANSWER_HEADINGS = ["Response:", "Answer:", "Output:", "Assistant:"]
 LARGEST_LOOKUP = 1_000_000
+NEAR_TOKENS, HOT_TOKENS = 65_536, 256
 _SLOTS = 4096
 
 
@@ -40,6 +42,19 @@ def vocabulary(df: DataFrame, sources: Sequence[str] = ("text",), *, size: int)
     return reserved.unionByName(ranked)
 
 
+def numbered_vocabulary(df: DataFrame, sources: Sequence[str] = ("text",), least: int = 1,
+                        rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
+    """(token, token_id) of every corpus token that occurs ``least`` times, most frequent first, however many there are.
+
+    Numbers come from ranges of the order, so no task orders or holds the vocabulary. For :func:`encode_joined`.
+    """
+    counted = written(token_counts(df, sources).filter(F.col("occurrences") >= least), "token-counts")
+    ranked = ordering.with_index(
+        counted.select("token", (-F.col("occurrences")).alias("rarity")), ["rarity", "token"], name="_rank", rows_per_bucket=rows_per_bucket)
+    reserved = df.sparkSession.createDataFrame(list(zip(RESERVED, range(len(RESERVED)))), "token string, token_id bigint")
+    return reserved.unionByName(ranked.select("token", (F.col("_rank") + len(RESERVED)).alias("token_id")))
+
+
 def _lookup(vocab: DataFrame) -> DataFrame:
     """The vocabulary as one value: an array of small maps, addressed by token hash.
 
@@ -59,33 +74,78 @@ def _lookup(vocab: DataFrame) -> DataFrame:
         "slots", lambda s: F.map_from_entries(F.coalesce(s["entries"], empty))).alias("slots"))
 
 
+def _looked_up(slots: str, t: Column) -> Column:
+    part = F.get(F.col(slots), F.pmod(F.xxhash64(t), F.lit(_SLOTS)).cast("int"))
+    return F.try_element_at(part, t)
+
+
 def encode(df: DataFrame, vocab: DataFrame, tokens: str = "tokens", out: str = "input_ids") -> DataFrame:
     """Add ids for a token array; unknown tokens share one id.
 
     The lookup is a scalar subquery, so it reaches executors once with the plan and rows are encoded
-    in place: no row per token and no shuffle.
+    in place: no row per token and no shuffle. Vocabularies of any size take :func:`encode_joined`.
     """
     slot = f"_slots_{out}"
+    staged = df.withColumn(slot, _lookup(vocab).scalar())
+    return staged.withColumn(out, F.transform(tokens, lambda t: F.coalesce(_looked_up(slot, t), F.lit(UNKNOWN)))).drop(slot)
 
-    def token_id(t: Column) -> Column:
-        part = F.get(F.col(slot), F.pmod(F.xxhash64(t), F.lit(_SLOTS)).cast("int"))
-        return F.coalesce(F.try_element_at(part, t), F.lit(UNKNOWN))
 
-    staged = df.withColumn(slot, _lookup(vocab).scalar())
-    return staged.withColumn(out, F.transform(tokens, token_id)).drop(slot)
+def _parts(rows: DataFrame, hot: int) -> Column:
+    """Into how many parts the rows of a token are cut: more than one for tokens that take more than ``1 / hot`` of all rows.
+
+    There are fewer than ``hot`` such tokens whatever the number of rows, so the driver may hold them, and all parts together are at most ``2 * hot``.
+    """
+    top = rows.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(token, {hot}, {16 * hot})").alias("top")).first()
+    heavy = {x["item"]: -(-x["count"] * hot // top["n"]) for x in top["top"] or [] if x["count"] * hot > top["n"]}
+    if not heavy:
+        return F.lit(1)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for pair in heavy.items() for v in pair]), F.col("token")), F.lit(1))
+
+
+def encode_joined(df: DataFrame, vocab: DataFrame, keys: Sequence[str], tokens: str = "tokens", out: str = "input_ids",
+                  near: int = NEAR_TOKENS, hot: int = HOT_TOKENS) -> DataFrame:
+    """The same ids as :func:`encode` for a vocabulary of any size, by a shuffled join.
+
+    ``keys`` tell rows apart. Tokens with an id below ``near`` are looked up in place; all others become rows of (key, position,
+    token), meet the rest of the vocabulary in a join and return to their rows, where positions put the ids in order. With a
+    vocabulary in order of frequency few tokens are joined. Tokens that are frequent none the less, known to the vocabulary
+    or not, are cut into parts by position, and only their vocabulary rows are repeated per part (one job finds them first).
+    """
+    keys, kind = list(keys), vocab.schema["token_id"].dataType
+    looked = (
+        df.withColumn("_slots", _lookup(vocab.filter(F.col("token_id") < near)).scalar())
+        .withColumn("_near", F.transform(tokens, lambda t, i: F.struct(i.alias("at"), _looked_up("_slots", t).cast(kind).alias("id"), t.alias("token"))))
+        .drop("_slots"))
+    unknown = F.filter("_near", lambda x: x["id"].isNull())
+    far = looked.select(F.struct(*keys).alias("_key"), F.explode(unknown).alias("_t")).select("_key", "_t.at", "_t.token")
+    parts = _parts(far.select("token"), hot)
+    salted = far.select("_key", "at", "token", F.pmod(F.xxhash64("_key", "at"), parts).cast("int").alias("_part"))
+    rest = vocab.filter(F.col("token_id") >= near).select(
+        "token", "token_id", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    found = salted.join(rest, ["token", "_part"], "left").groupBy("_key").agg(
+        F.collect_list(F.struct("at", F.coalesce("token_id", F.lit(UNKNOWN).cast(kind)).alias("id"))).alias("_far"))
+    here = F.transform(F.filter("_near", lambda x: x["id"].isNotNull()), lambda x: F.struct(x["at"].alias("at"), x["id"].alias("id")))
+    none = F.array().cast(f"array<struct<at:int,id:{kind.simpleString()}>>")
+    ids = F.transform(F.sort_array(F.concat(here, F.coalesce("_far", none))), lambda x: x["id"])
+    joined = looked.join(found, F.struct(*keys).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn(out, ids).drop("_near", "_far", "_key")
 
 
 def tokenized(df: DataFrame, vocab: DataFrame, source: str = "text", prefix: str = "",
-              max_length: int | None = None) -> DataFrame:
-    """Add ``tokens``, ``input_ids`` and ``attention_mask``, cut at ``max_length`` if one is given, and not padded."""
+              max_length: int | None = None, joined_on: Sequence[str] | None = None) -> DataFrame:
+    """Add ``tokens``, ``input_ids`` and ``attention_mask``, cut at ``max_length`` if one is given, and not padded.
+
+    ``joined_on`` names the columns that tell rows apart and encodes by a join, for vocabularies too large to look up.
+    """
     tokens, ids = f"{prefix}tokens", f"{prefix}input_ids"
     found = text.tokens(F.col(source))
     cut = df.withColumn(tokens, found if max_length is None else F.slice(found, 1, max_length))
-    return encode(cut, vocab, tokens, ids).withColumn(
+    coded = encode_joined(cut, vocab, joined_on, tokens, ids) if joined_on else encode(cut, vocab, tokens, ids)
+    return coded.withColumn(
         f"{prefix}attention_mask", F.array_repeat(F.lit(1), F.size(tokens)))
 
 
-def _answer_spans(tokens: Column) -> Column:
+def answer_spans(tokens: Column) -> Column:
     """(start, stop) of the tokens strictly between an assistant marker and the next end marker."""
     marks = F.filter(
         F.transform(tokens, lambda t, i: F.struct(i.alias("at"), t.alias("token"))),
@@ -127,7 +187,7 @@ def with_labels(df: DataFrame, source: str = "text", tokens: str = "tokens", ids
     """
     marked = F.col(source).contains("<|assistant|>")
     from_heading = F.array(F.struct(_heading_start(F.col(tokens)).alias("start"), F.size(tokens).alias("stop")))
-    staged = df.withColumn("_spans", F.when(marked, _answer_spans(F.col(tokens))).otherwise(from_heading))
+    staged = df.withColumn("_spans", F.when(marked, answer_spans(F.col(tokens))).otherwise(from_heading))
 
     def label(token_id: Column, i: Column) -> Column:
         inside = F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["stop"]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alignlake.operators import evaluation, normalize, quality, reports, sampling, telemetry, tokens, validate
+from alignlake.operators import evaluation, normalize, ordering, quality, reports, sampling, telemetry, tokens, turns, validate
 from alignlake.session import written
 
 
@@ -62,6 +62,26 @@ def prepare_table(df: DataFrame, kind: str, order_by: str, max_length: int, voca
     return done
 
 
+def prepare_turns(df: DataFrame, max_length: int, vocab: DataFrame | int, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
+                  content: str = "text", check_raw: bool = True, filter_content: bool = True, check_processed: bool = True, joined: bool = False,
+                  rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
+    """:func:`prepare_table` for a table of turns whose conversations may be of any length; none is gathered beyond ``max_length`` tokens.
+
+    ``joined`` encodes by a join, for a vocabulary too large to look up.
+    """
+    said = turns.numbered(df, conversation, turn, role, content, rows_per_bucket)
+    if check_raw and not reports.validation_summary(turns.raw_checks(said, rows_per_bucket)).first()["is_valid"]:
+        raise ValueError("raw table validation failed")
+    if filter_content:
+        said = turns.without_unsafe(said)
+    done = validate.successful(turns.processed(said, vocab, max_length, joined, rows_per_bucket))
+    if check_processed:
+        done = written(done, "prepared-turns")
+        if not validate.format_gate(done, "chat", max_length, "conversation", rows_per_bucket=rows_per_bucket).first()["passed"]:
+            raise ValueError("processed table validation failed")
+    return done.withColumnRenamed("conversation", conversation)
+
+
 def prepare_simple(df: DataFrame, max_length: int = 512) -> tuple[DataFrame, DataFrame]:
     """Render, filter by length; returns the kept rows and the counts per filter reason."""
     judged = validate.length_filter_reason(normalize.rendered(df), max_length)

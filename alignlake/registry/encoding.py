@@ -53,6 +53,14 @@ def encode_docs(spark, sf):
                           F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m).alias("mask_sum"))
 
 
+def encode_docs_joined(spark, sf):
+    """Every token of the corpus has an id, met by a join; the most frequent ones are looked up."""
+    docs = V.documents(spark, sf).select("doc_id", "text")
+    vocab = written(tokens.numbered_vocabulary(docs, rows_per_bucket=B), "vocabulary")
+    encoded = tokens.tokenized(docs, vocab, joined_on=["doc_id"])
+    return encoded.select("doc_id", F.size("input_ids").alias("token_count"), _ids("input_ids").alias("ids"))
+
+
 def chat_loss_mask(spark, sf):
     return _chats(spark, sf).select("conv_id", "token_count", _ids("input_ids").alias("ids"), _ids("labels").alias("labels"))
 
@@ -203,7 +211,7 @@ def rejected_pair_texts(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    vocab_topk, token_counts, encode_docs, chat_loss_mask, heading_loss_mask, chat_reject_reasons, processed_pairs,
+    vocab_topk, token_counts, encode_docs, encode_docs_joined, chat_loss_mask, heading_loss_mask, chat_reject_reasons, processed_pairs,
     batch_numbers, padded_batches, pref_padded_batches, token_length_stats, text_lengths, sampled_text_lengths,
     text_quality_report, processed_chat_checks, processed_pref_checks, format_gate, failing_format_gate, required_fields, stage_gates, sampled_format_gate,
     prepared_chats, prepared_simple, preference_training_split, prompt_set, rejected_pair_texts)}
@@ -267,6 +275,9 @@ ORACLES = {
       SELECT d.doc_id, CAST(count(e.pos) AS INT) AS token_count, CAST(count(e.pos) AS INT) AS mask_sum,
         coalesce(string_agg(e.token_id, ' ' ORDER BY e.pos), '') AS ids
       FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id""",
+    "encode_docs_joined": f"""WITH {_vocab('documents', 10 ** 12)}, {_encoded('e', 'documents', 'doc_id', 'text')}
+      SELECT d.doc_id, CAST(count(e.pos) AS INT) AS token_count, coalesce(string_agg(e.token_id, ' ' ORDER BY e.pos), '') AS ids
+      FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id""",
     "chat_loss_mask": f"WITH {_CHAT_TOKENS} SELECT conv_id, CAST(n AS INT) AS token_count, ids, labels FROM chat_rows",
     "heading_loss_mask": f"""WITH docs AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat('Question? Answer: ', text)
           WHEN 1 THEN concat('Output: x. Response: ', text) WHEN 2 THEN concat('<|user|> ', text) ELSE text END AS text
