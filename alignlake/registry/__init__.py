@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-TOPICS = ("texts", "preferences", "encoding", "scores", "series", "stores", "streams", "callbacks", "turns")
+TOPICS = ("texts", "preferences", "encoding", "scores", "series", "stores", "streams", "callbacks", "turns", "provenance")
 
 
 def _modules():
