@@ -290,3 +290,26 @@ def test_pages_of_a_table(spark):
     assert [(r.page_id, r.url, r.text, r.n_chars) for r in got] == [
         (1, "u", "", 0), (1, "u", "", 0), (2, None, "Titél\n\nOne two three.\n\nFour five six", 36), (None, "v", "é😀", 2)]
     assert page_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_long_words_equal_the_library_and_stay_quick(codec):
+    import time
+
+    own, library = codec
+    rnd = random.Random(12)
+    words = {n: "".join(rnd.choice(letters) for _ in range(size)) for n, (letters, size) in enumerate([
+        ("abcdefghijklmnopqrstuvwxyz", 1_000_000), ("ABCabcXYZ0123456789+/", 40_000), ("的一是不了人我在有他这中", 30_000), ("a", 30_000), ("ab", 20_000), ("-", 20_000), (" ", 9_000)])}
+    words |= {20: "ab" * 9_000, 21: "=" * 5_000 + "x" * 5_000, 22: "\u0e01\U0001f600" * 3_000}
+    begin = time.monotonic()
+    found = {n: own.encode([w])[0].tolist() for n, w in words.items()}
+    assert time.monotonic() - begin < 60
+    assert all(found[n] == library.encode(w) for n, w in words.items())
+
+
+def test_ids_do_not_depend_on_what_is_kept(codec, monkeypatch):
+    own, library = codec
+    rnd = random.Random(13)
+    texts = [" ".join("".join(rnd.choice("abcdeé,.") for _ in range(rnd.randint(1, 30))) for _ in range(rnd.randint(0, 40))) for _ in range(120)]
+    monkeypatch.setattr(piece_codec, "KNOWN_STRETCHES", 50)
+    for low in range(0, 120, 7):
+        assert [x.tolist() for x in own.encode(texts[low : low + 7])] == library.encode(texts[low : low + 7])
