@@ -1,18 +1,22 @@
 """Main text of web pages by two passes of rules over blocks.
 
 A page is cut into blocks at block-level tags. The first pass judges each block by itself from its length, the
-density of stop words and the share of its characters inside links: ``good``, ``bad``, or undecided
-(``near``: fairly many stop words, ``short``: too little text to tell). The second pass lets undecided
+density of stop words, the share of its characters inside links, and where it lies: ``good``, ``bad``, or undecided
+(``near``: likely text, ``short``: too little text to tell, ``outside``: prose outside the article). The second pass lets undecided
 blocks inherit from their nearest decided neighbours: where both sides agree their label counts; where they
 differ, ``near`` blocks turn good and ``short`` ones bad, unless only one side lies in the same section. Few stop words leave a block as
 undecided as a short one. Where no block of a page has its share of stop words, the page is in another language
 than theirs, and length and links alone decide.
 
+The bounds of ``<article>`` and ``<main>`` are one feature. Blocks inside are ``near`` where the words do not show them to be good and turn
+good unless their names raise a doubt, so short lines, lists of links and formulas of an article stay; doubted ones take after neighbours
+inside. Prose outside stays out unless both neighbours are good.
+
 Sections fix what the words cannot show. Navigation, page header and footer, asides, forms, scripts,
-styles and elements whose class, id or role names a menu, sidebar, advert, notice or reader comment
-are bad whatever they say. A name counts if it is what the element is, not what it has or which state that is in
-(``has-sidebar``, ``comments-open``), and never on ``html``, ``body``, ``main`` and ``article``. Where a page has ``<article>`` or ``<main>``, what lies
-outside is bad, and all blocks inside are good, however many links they hold. If all its articles lie in elements so named, those names do not count.
+styles, blocks of nothing but buttons and elements whose class, id or role is the name of a menu, sidebar, advert, notice or reader comment
+are bad whatever they say. A name counts if it is what the element is, alone or with words for parts of a page (``comments-list``), not what it has or
+which state that is in (``has-sidebar``, ``comments-open``), and never on ``html``, ``body``, ``main`` and ``article``. Beside other words
+(``side-effects``) it only raises a doubt, which links must confirm. If all articles of a page lie in elements so named, those names do not count.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by an empty line. Null and empty pages give an empty text. Repeated rows
@@ -39,15 +43,19 @@ LINKS = 0.4  # share of characters inside links
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 head header hr html li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
-RAW = frozenset("script style textarea noscript template title iframe svg select button object math".split())
+RAW = frozenset("script style textarea noscript template title iframe svg select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav header footer aside form head dialog menu".split())
 MAIN = frozenset("article main".split())
-HINTS = re.compile(
-    r"(?<![^\s_-])(?<!\bhas[_-])(?<!\bno[_-])(?<!\bnot[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?<!\bhide[_-])(?<!\bshow[_-])"
-    r"(?:ads?|advert\w*?|sponsor\w*?|promo\w*?|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|nav|navbar|navigation|"
+NAMES = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|nav|navbar|navigation|"
     r"menu|breadcrumbs?|sidebar|side|widget|related|share|social|comments?|disqus|replies|footer|header|masthead|login|search|pagination|"
-    r"skip|toolbar|complementary|contentinfo|alert)(?=$|[\s_-])(?![_-](?:open|opened|closed|enabled|disabled|on|off|visible|hidden)(?:$|[\s_-]))", re.IGNORECASE)
+    r"skip|toolbar|complementary|contentinfo|alert)", re.IGNORECASE)
+HAVING = frozenset("has no not with without hide show".split())
+STATES = frozenset("open opened closed enabled disabled on off visible hidden".split())
+PARTS = frozenset(
+    "area bar block body box btn button buttons col column container content bottom desktop entry form group inner left link links list main message "
+    "mobile module outer overlay page panel post primary region right row secondary section site slot tag text top unit wrap wrapper".split())
 UNNAMED = frozenset("html body main article".split())
 STOP_WORDS = frozenset(
     "the be to of and that have with a in is it for on as are was this by from or an at not he his her they we you which all but "
@@ -70,38 +78,56 @@ class Block:
     main: bool  # inside an article or main element
     fixed: bool  # inside a boilerplate section
     named: bool  # fixed by nothing but names of elements around its article
+    doubted: bool  # inside an element whose name holds a boilerplate word beside others
+    buttons: int  # characters inside buttons
     heading: bool
     section: int
 
 
 def hidden(attributes: str) -> bool:
-    return any(name.lower() == "hidden" or name.lower() == "aria-hidden" and value.strip("\"'") == "true"
-               or name.lower() == "style" and re.search(r"display\s*:\s*none", value) for name, value in ATTRIBUTE.findall(attributes))
-
-
-def hinted(attributes: str) -> bool:
-    """Whether class, id or role name boilerplate."""
-    return any(name.lower() in ("class", "id", "role") and HINTS.search(value.strip("\"'")) for name, value in ATTRIBUTE.findall(attributes))
+    return any(name.lower() == "hidden" or name.lower() == "style" and re.search(r"display\s*:\s*none", value)
+               for name, value in ATTRIBUTE.findall(attributes))
+
+
+def hinted(attributes: str) -> str:
+    """``sure`` if class, id or role is a name of boilerplate, ``maybe`` if one stands beside other words, else empty."""
+    found = ""
+    for name, value in ATTRIBUTE.findall(attributes):
+        for word in value.strip("\"'").lower().split() if name.lower() in ("class", "id", "role") else ():
+            words = [w for w in re.split("[_-]+", word) if w]
+            names = [bool(NAMES.fullmatch(w)) for w in words]
+            if not any(names) or words[0] in HAVING or words[-1] in STATES:
+                continue
+            if all(n or w in PARTS or w.isdigit() for n, w in zip(names, words, strict=True)):
+                return "sure"
+            found = "maybe"
+    return found
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks with text, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements; whether each starts boilerplate, and does so by its name around an article
-    parts: list[tuple[str, bool]] = []
-    state = {"links": 0, "fixed": 0, "named": 0, "main": 0, "heading": 0, "section": 0}
+    # open elements; whether each starts boilerplate, does so by its name around an article, and whether its name raises a doubt
+    stack: list[tuple[str, bool, bool, bool]] = []
+    parts: list[tuple[str, bool, bool]] = []  # text, inside a link, inside a button
+    state = {"links": 0, "buttons": 0, "fixed": 0, "named": 0, "doubted": 0, "main": 0, "heading": 0, "section": 0}
+
+    def add(text: str) -> None:
+        parts.append((text, state["links"] > 0, state["buttons"] > 0))
 
     def flush() -> None:
         if parts:
-            text = BLANK.sub(" ", unescape("".join(t for t, _ in parts))).strip()
+            text = BLANK.sub(" ", unescape("".join(t for t, *_ in parts))).strip()
             if text:
-                linked = sum(len(BLANK.sub(" ", unescape(t)).strip()) for t, inside in parts if inside)
-                found.append(Block(text, linked, state["main"] > 0, state["fixed"] > 0,
-                                   state["main"] > 0 and 0 < state["fixed"] == state["named"], state["heading"] > 0, state["section"]))
+                size = lambda which: sum(len(BLANK.sub(" ", unescape(p[0])).strip()) for p in parts if p[which])
+                found.append(Block(text, size(1), state["main"] > 0, state["fixed"] > 0, state["main"] > 0 and 0 < state["fixed"] == state["named"],
+                                   state["doubted"] > 0, size(2), state["heading"] > 0, state["section"]))
             parts.clear()
 
-    def count(name: str, bad: bool, around: bool, step: int) -> None:
+    def count(name: str, bad: bool, around: bool, doubt: bool, step: int) -> None:
         state["links"] += step * (name == "a")
+        state["buttons"] += step * (name == "button")
+        state["doubted"] += step * doubt
         state["fixed"] += step * bad
         state["named"] += step * around
         state["main"] += step * (name in MAIN)
@@ -109,10 +135,10 @@ def blocks(html: str) -> list[Block]:
 
     def close(depth: int) -> None:
         while len(stack) > depth:
-            name, bad, around = stack.pop()
+            name, *marks = stack.pop()
             if name in BLOCKS:
                 flush()
-            count(name, bad, around, -1)
+            count(name, *marks, -1)
 
     at, end, low = 0, len(html), None
     while at < end:
@@ -120,13 +146,13 @@ def blocks(html: str) -> list[Block]:
         if not m:
             rest = html[at:]
             cut = re.search(r"<[a-zA-Z/!][^<>]*\Z", rest)
-            parts.append((rest[: cut.start()] if cut else rest, state["links"] > 0))
+            add(rest[: cut.start()] if cut else rest)
             break
         if m.start() > at:
-            parts.append((html[at : m.start()], state["links"] > 0))
+            add(html[at : m.start()])
         at = m.end()
         if m[1] is not None:
-            parts.append((m[1], state["links"] > 0))
+            add(m[1])
         name = (m[3] or "").lower()
         if not name:
             continue
@@ -150,7 +176,7 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in VOID or m[4].endswith("/"):
             if name == "br":
-                parts.append((" ", False))
+                parts.append((" ", False, False))
             elif name in BLOCKS:
                 flush()
             continue
@@ -163,8 +189,9 @@ def blocks(html: str) -> list[Block]:
             state["section"] += name in ("section", "div", "article", "main", "aside", "nav", "header", "footer", "form")
         inside = state["main"] > 0
         by_kind = name in BOILERPLATE and not (name == "header" and inside) or hidden(m[4])
-        by_name = name not in UNNAMED and hinted(m[4])
-        stack.append((name, by_kind or by_name, by_name and not by_kind and not inside))
+        hint = "" if name in UNNAMED else hinted(m[4])
+        by_name = hint == "sure"
+        stack.append((name, by_kind or by_name, by_name and not by_kind and not inside, hint == "maybe"))
         count(*stack[-1], 1)
     close(0)
     flush()
@@ -181,46 +208,57 @@ def heavy(block: Block) -> bool:
 
 
 def first_pass(block: Block, has_main: bool, told: bool) -> str:
-    if block.fixed or has_main and not block.main:
+    size = len(block.text)
+    if block.fixed or block.buttons and block.buttons >= len(BLANK.sub("", block.text)):
         return "bad"
-    if has_main:
-        return "good"
+    share = density(block.text)
+    if has_main and not block.main:
+        return "outside" if size >= LONG and share >= MANY and not heavy(block) else "bad"
     if heavy(block):
-        return "bad"
-    if len(block.text) < SHORT:
+        return "near" if block.main and not block.doubted else "bad"
+    if block.main:
+        return "good" if size >= SHORT and share >= FEW and not block.doubted else "near"
+    if block.doubted and size < LONG:
+        return "bad" if block.linked else "short"
+    if size < SHORT:
         return "bad" if block.linked else "short"
-    share = density(block.text)
     if not told or share >= MANY:
-        return "good" if len(block.text) >= LONG else "near"
+        return "good" if size >= LONG else "near"
     return "near" if share >= FEW else "short"
 
 
 def second_pass(page: list[Block], labels: list[str]) -> list[bool]:
-    """Good or bad for every block; undecided ones take after their nearest decided neighbours."""
+    """Good or bad for every block; undecided ones take after their nearest decided neighbours, those inside an article after such inside one."""
     n = len(labels)
-    before, after = [None] * n, [None] * n
-    last = None
-    for i in range(n):
-        before[i] = last
-        last = i if labels[i] in ("good", "bad") else last
-    last = None
-    for i in range(n - 1, -1, -1):
-        after[i] = last
-        last = i if labels[i] in ("good", "bad") else last
+
+    def nearest(steps: range, inside: bool) -> list[int | None]:
+        found, last = [None] * n, None
+        for i in steps:
+            found[i] = last
+            last = i if labels[i] in ("good", "bad") and (page[i].main or not inside) else last
+        return found
+
+    before, after = [{inside: nearest(steps, inside) for inside in (False, True)} for steps in (range(n), range(n - 1, -1, -1))]
     final = []
     for i, label in enumerate(labels):
         if label in ("good", "bad"):
             final.append(label == "good")
             continue
-        sides = [j for j in (before[i], after[i]) if j is not None]
+        if page[i].main and not page[i].doubted:
+            final.append(True)  # nothing speaks against it
+            continue
+        sides = [j for j in (before[page[i].main][i], after[page[i].main][i]) if j is not None]
         verdicts = {labels[j] for j in sides}
-        if len(verdicts) == 1:
-            final.append(verdicts == {"good"})
+        if label == "outside":
+            final.append(len(sides) == 2 and verdicts == {"good"})
         elif not sides:
             final.append(label == "near")
+        elif len(verdicts) == 1:
+            final.append(verdicts == {"good"})
         else:
             own = [j for j in sides if page[j].section == page[i].section]
-            final.append(labels[own[0]] == "good" if len(own) == 1 else label == "near" or page[i].heading and labels[after[i]] == "good")
+            follows = after[page[i].main][i]
+            final.append(labels[own[0]] == "good" if len(own) == 1 else label == "near" or page[i].heading and labels[follows] == "good")
     return final
 
 
@@ -231,7 +269,7 @@ def main_text(html: str | None) -> str:
         page = [replace(b, fixed=b.fixed and not b.named) for b in page]
         has_main = True
     # whether the stop words are those of the page's language
-    told = has_main or any(len(b.text) >= SHORT and not b.fixed and not heavy(b) and density(b.text) >= FEW for b in page)
+    told = any(b.main for b in page) or any(len(b.text) >= SHORT and not b.fixed and not heavy(b) and density(b.text) >= FEW for b in page)
     good = second_pass(page, [first_pass(b, has_main, told) for b in page])
     return "\n\n".join(b.text for b, g in zip(page, good, strict=True) if g)
 

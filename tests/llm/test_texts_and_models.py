@@ -276,6 +276,79 @@ def test_names_links_and_languages_drop_nothing_of_an_article(html, text):
     assert page_text.main_text(html) == text
 
 
+LONG_PROSE = "The people of the town have been in this place for a long time and it is not known to them that there was a house on the hill, but they will be there. " * 2
+
+
+@pytest.mark.parametrize("html, lost", [(f"<article><p>{a}</p>{{}}<p>{b}</p></article>", "") for a, b in (("Before.", "After."), (LONG_PROSE, LONG_PROSE))])
+@pytest.mark.parametrize("inner, text", [
+    *[(f"<div class='{name}'><p>{text}</p></div>", text) for text in ("It is short.", LONG_PROSE.strip()) for name in ("related-work", "side-effects", "share-price", "menu-items", "social-history")],
+    ("<section id='search-methods'><p>We searched for it.</p></section>", "We searched for it."),
+    ("<p>So <math><mi>x</mi> = 2</math> holds.</p>", "So x = 2 holds."), ("<p>Press <button>Start</button> to begin.</p>", "Press Start to begin."),
+    ("<object data='x.pdf'><p>The file as a text.</p></object>", "The file as a text."), ("<p aria-hidden='true'>Seen by all but readers.</p>", "Seen by all but readers."),
+])
+def test_nothing_of_an_article_is_lost(html, lost, inner, text):
+    got = page_text.main_text(html.format(inner)).split("\n\n")
+    assert got[1:-1] == [text] and len(got) == 3
+
+
+def test_links_confirm_a_doubt_and_buttons_alone_go():
+    links = "<ul class='related-posts-of-ours'>" + "<li><a href='x'>some link text here</a>" * 5 + "</ul>"
+    assert page_text.main_text(f"<article><p>{LONG_PROSE}</p>{links}<p><button>Share</button> <button>Like</button></p><p>End.</p></article>") == f"{LONG_PROSE.strip()}\n\nEnd."
+    prose = f"<div><p>{LONG_PROSE}</p></div>"
+    assert page_text.main_text(f"<nav><a href='x'>x</a></nav><article><p>{LONG_PROSE}</p></article>{prose}<footer>f</footer>") == LONG_PROSE.strip()
+    between = page_text.main_text(f"<article><p>{LONG_PROSE}</p></article>{prose}<article><p>{LONG_PROSE}</p></article>")
+    assert between.split("\n\n") == [LONG_PROSE.strip()] * 3
+
+
+def brute_second_pass(page, labels):
+    """The rules of the second pass, block by block, looking for neighbours step by step."""
+    out = []
+    for i, block in enumerate(page):
+        def neighbour(step):
+            j = i + step
+            while 0 <= j < len(page):
+                if labels[j] in ("good", "bad") and (page[j].main or not block.main):
+                    return j
+                j += step
+            return None
+
+        low, high = neighbour(-1), neighbour(1)
+        sides = [j for j in (low, high) if j is not None]
+        same = [labels[j] for j in sides if page[j].section == block.section]
+        if labels[i] in ("good", "bad"):
+            out.append(labels[i] == "good")
+        elif block.main and not block.doubted:
+            out.append(True)
+        elif labels[i] == "outside":
+            out.append([labels[j] for j in sides] == ["good", "good"])
+        elif not sides:
+            out.append(labels[i] == "near")
+        elif len({labels[j] for j in sides}) == 1:
+            out.append(labels[sides[0]] == "good")
+        elif len(same) == 1:
+            out.append(same[0] == "good")
+        else:
+            out.append(labels[i] == "near" or block.heading and labels[high] == "good")
+    return out
+
+
+def test_second_pass_equals_looking_for_neighbours():
+    rnd = random.Random(21)
+    for _ in range(400):
+        page = [page_text.Block("x", 0, rnd.random() < 0.4, False, False, rnd.random() < 0.4, 0, rnd.random() < 0.2, rnd.randrange(4)) for _ in range(rnd.randint(0, 9))]
+        labels = [rnd.choice(["good", "bad", "near", "short", "outside"]) for _ in page]
+        assert page_text.second_pass(page, labels) == brute_second_pass(page, labels)
+
+
+def test_pages_without_article_tags_give_the_same_text(sf_dir):
+    import duckdb
+
+    pages = duckdb.sql(f"SELECT html FROM '{sf_dir}/pages.parquet' WHERE html IS NOT NULL").fetchall()
+    texts = [(page_text.main_text(h), page_text.main_text(re.sub(r"<(/?)article", r"<\1div", h))) for (h,) in pages]
+    assert all(set(bare.split("\n\n")) <= {*whole.split("\n\n"), ""} for whole, bare in texts)
+    assert sum(whole == bare for whole, bare in texts) >= 0.8 * len(texts)
+
+
 def test_undecided_blocks_take_after_their_neighbours():
     good = "The people of the town have been in this place for a long time and it is not known to them that there was a house on the hill, but they will "
     long = f"<p>{good * 3}</p>"
