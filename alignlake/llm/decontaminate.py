@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alignlake.llm.names import unused
 from alignlake.session import written
 
 # 1 picks a word, 0 ignores it.
@@ -210,10 +211,11 @@ def decontaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
                    item_text: str = "text") -> DataFrame:
     """``docs`` with ``items`` (sorted ids of matching items) and ``kept`` (no item matches)."""
     found = overlaps(docs, items, id_column, text_column, item_column, item_text)
-    per_doc = found.groupBy(F.col("doc").alias("__doc"), F.col("version").alias("__version")).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("__items"))
+    doc, version, listed, own = unused(docs.columns, "doc", "version", "found_items", "text_version")
+    per_doc = found.groupBy(F.col("doc").alias(doc), F.col("version").alias(version)).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias(listed))
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("items", "kept")]
-    marked = docs.withColumn("__text_version", F.xxhash64(F.col(f"`{text_column}`")))
+    marked = docs.withColumn(own, F.xxhash64(F.col(f"`{text_column}`")))
     return (
-        marked.join(per_doc, marked[f"`{id_column}`"].eqNullSafe(per_doc["__doc"]) & (marked["__text_version"] == per_doc["__version"]), "left")
-        .select(*kept, F.coalesce("__items", F.array()).alias("items"), F.col("__items").isNull().alias("kept")))
+        marked.join(per_doc, marked[f"`{id_column}`"].eqNullSafe(per_doc[doc]) & (marked[own] == per_doc[version]), "left")
+        .select(*kept, F.coalesce(listed, F.array()).alias("items"), F.col(listed).isNull().alias("kept")))

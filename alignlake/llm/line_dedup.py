@@ -4,7 +4,7 @@ A text's lines (cut at line feeds) that hold a word form a sequence; blank lines
 occurred before, in an earlier row or further up in the same text, is a later repeat: every line of it
 is deleted, with the blank lines between them. So any repeated run of at least ``window`` lines goes, at every place but its first, and shorter
 repeats stay. With ``alone``, a single line of at least that many words that occurred before is such a repeat too, whatever stands around
-it; without it, as the SQL of the registered query has it, single lines stay. Rows are ordered by id, rows with equal ids by text; the first occurrence is never the copy.
+it (the registered query and the pipeline use ``ALONE``); without it single lines stay. Rows are ordered by id, rows with equal ids by text; the first occurrence is never the copy.
 
 1. Winnowing: of every ``window`` consecutive lines the one with the smallest hash (the rightmost of equals) is a
    fingerprint. Equal runs choose equal fingerprints, so each repeated run is guaranteed to hold a shared one, while
@@ -25,9 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alignlake.llm.names import unused
 from alignlake.session import written
 
 WINDOW = 2
+ALONE = 8
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
@@ -96,15 +98,16 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, alone: int | None = None) -> DataFrame:
     """``docs`` with the repeated runs deleted from the text, and ``n_deleted`` lines per row."""
+    row, version, lines, own = unused(docs.columns, "row", "version", "lines", "text_version")
     cut = repeated_lines(docs, id_column, text_column, window, alone).select(
-        F.col("row").alias("__row"), F.col("version").alias("__version"), F.col("lines").alias("__lines"))
-    marked = docs.withColumn("__text_version", F.xxhash64(F.col(f"`{text_column}`")))
+        F.col("row").alias(row), F.col("version").alias(version), F.col("lines").alias(lines))
+    marked = docs.withColumn(own, F.xxhash64(F.col(f"`{text_column}`")))
     joined = marked.join(
-        cut.hint("shuffle_hash"), marked[f"`{id_column}`"].eqNullSafe(cut["__row"]) & (marked["__text_version"] == cut["__version"]), "left")
+        cut.hint("shuffle_hash"), marked[f"`{id_column}`"].eqNullSafe(cut[row]) & (marked[own] == cut[version]), "left")
     text = F.col(f"`{text_column}`")
     left = bound(F.split(text, "\n"), lambda parts: F.array_join(
-        F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__lines")), lambda i: parts[i]), "\n"))
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(lines)), lambda i: parts[i]), "\n"))
     return joined.select(
-        *[F.when(F.col("__lines").isNull(), text).otherwise(left).alias(c) if c == text_column else F.col(f"`{c}`")
+        *[F.when(F.col(lines).isNull(), text).otherwise(left).alias(c) if c == text_column else F.col(f"`{c}`")
           for c in docs.columns if c != "n_deleted"],
-        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_deleted"))
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_deleted"))

@@ -16,6 +16,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alignlake.llm.names import unused
+
 SPACES = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -80,19 +82,20 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     names = (*BASE, "n_lines", "n_stop_words", "n_bullet_lines", "n_ellipsis_lines")
     kept = [c for c in docs.columns if c not in names]
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    (parts,) = unused(docs.columns, "parts")
     split = docs.select(
         *[F.col(f"`{c}`") for c in kept],
         F.struct(
             F.array_remove(F.split(content, SPACES), "").alias("words"),
             F.filter(F.split(content, "\n"), lambda x: F.trim(x, F.lit(SPACE_CHARS)) != "").alias("lines"),
             (F.length(content) - F.length(F.translate(content, SYMBOLS, ""))).alias("symbols"),
-        ).alias("__parts"))
-    words, lines = F.col("__parts.words"), F.col("__parts.lines")
+        ).alias(parts))
+    words, lines = F.col(f"{parts}.words"), F.col(f"{parts}.lines")
     trimmed = lambda x: F.trim(x, F.lit(SPACE_CHARS))
     counts = {
         "n_words": F.size(words),
         "word_chars": F.length(F.array_join(words, "")),
-        "n_symbols": F.col("__parts.symbols"),
+        "n_symbols": F.col(f"{parts}.symbols"),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": repeated_words(words, F.size(words)),
         "n_lines": F.size(lines),

@@ -70,18 +70,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZE
 
 
 def op6_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), alone=line_dedup.ALONE)
 
 
 SQL_OP6 = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
   w AS (SELECT doc_id, pos, x, lead(x) OVER o AS y, lead(pos) OVER o AS stop FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
     WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
-  r AS (SELECT doc_id, pos, stop FROM w WHERE stop IS NOT NULL QUALIFY row_number() OVER (PARTITION BY x, y ORDER BY doc_id, pos) > 1),
+  r AS (SELECT doc_id, pos, stop FROM w WHERE stop IS NOT NULL QUALIFY row_number() OVER (PARTITION BY x, y ORDER BY doc_id, pos) > 1
+    UNION ALL (SELECT doc_id, pos, pos AS stop FROM w WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= ALONE
+      QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, pos) > 1)),
   g AS (SELECT DISTINCT doc_id, unnest(range(pos, stop + 1)) AS pos FROM r),
   k AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL) AS text, count(g.pos) AS n
     FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(k.n, 0) AS n_deleted
-FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id"""
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id""".replace("ALONE", str(line_dedup.ALONE))
 
 
 def op7_piece_codec(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:

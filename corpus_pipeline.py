@@ -25,8 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later repeats of runs of lines; documents of which nothing is left go."""
-    cut = line_dedup.without_repeats(docs)
+    """Texts without later repeats of runs of lines and of longer single lines; documents of which nothing is left go."""
+    cut = line_dedup.without_repeats(docs, alone=line_dedup.ALONE)
     left = cut.filter((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", changed).select(docs.columns)

@@ -59,8 +59,8 @@ def test_quality_plan_has_no_python(spark, capsys):
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
 
 
-def brute_lines(rows, window):
-    """Lines after deleting every run that occurred before, rows by id then text."""
+def brute_lines(rows, window, alone=None):
+    """Lines after deleting every run, and every single line of ``alone`` words, that occurred before, rows by id then text."""
     seen, out = set(), []
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0], r[1] is not None)):
         if text is None:
@@ -74,6 +74,10 @@ def brute_lines(rows, window):
             if run in seen:
                 gone.update(range(full[k], full[k + window - 1] + 1))
             seen.add(run)
+        for k in full:
+            if alone is not None and len(WORD.findall(lines[k])) >= alone:
+                gone |= {k} if lines[k] in seen else set()
+                seen.add(lines[k])
         out.append((doc_id, "\n".join(x for i, x in enumerate(lines) if i not in gone)))
     return out
 
@@ -222,6 +226,16 @@ def test_near_duplicates_of_repeated_and_null_ids_and_an_empty_table(spark):
     assert setsketch.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_helper_columns_take_names_that_no_column_has(spark):
+    rows = [(1, "one line of eight words is long enough\nx"), (2, "one line of eight words is long enough\ny")]
+    odd = {c: F.lit(f"mine {c}") for c in ("__parts", "parts", "__text_version", "text_version", "Row", "version", "lines", "doc", "found_items", "__items", "__doc")}
+    df = frame(spark, rows, extra=False).withColumns(odd)
+    items = spark.createDataFrame([("i", "eight words is long enough and more of it")], "item_id string, text string")
+    for out in (quality_rules.apply_rules(df), line_dedup.without_repeats(df, alone=8), decontaminate.decontaminated(df, items)):
+        assert all({r[c] for r in out.collect()} == {f"mine {c}"} for c in odd)
+    assert [r.n_deleted for r in line_dedup.without_repeats(df, alone=8).orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_texts_of_one_id_share_a_component(spark):
     a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
     rows = [(5, a), (5, b), (3, f"{b} more"), (9, f"{a} more"), (7, c), (8, ""), (8, None), (5, "")]
