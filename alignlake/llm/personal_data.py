@@ -14,8 +14,8 @@ Runs of equally labelled nodes become further spans if the posterior is high, th
 kind, and either skip links, over any number of them, tie the run to an observed one of its label or the run is a complete number or address.
 All other tokens have one possible label, none, and need no node.
 
-The field is trained in numpy by pseudo-likelihood on a bounded sample of documents (``SAMPLE_DOCS``, by
-hash of the id; of each at most ``SAMPLE_NODES`` nodes), labelled by the base spans. Without a sample no spans are added.
+The field is trained in numpy by pseudo-likelihood on a bounded sample of documents (``SAMPLE_DOCS``, the first by a
+hash of id and text among a share of all; of each at most ``SAMPLE_NODES`` nodes), labelled by the base spans. It does not depend on how rows are dealt. Without a sample no spans are added.
 
 Null texts are empty. Rows with equal texts get equal spans. Other columns are ignored; an empty table gives
 an empty result. Spans are ``kind:start:end`` in code points, end exclusive, ordered by kind as listed, then start.
@@ -35,11 +35,13 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
 SAMPLE_DOCS, SAMPLE_NODES = 3000, 200
 ROUNDS, STILL, SURE = 1000, 1e-3, 0.9
+MARKS = 50_000  # characters that may belong to nodes, of the texts that are worked on at once
+ROWS = 20_000
 SPANS = "array<struct<kind:int,start:int,stop:int,base:boolean>>"
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")  # a match never starts inside a run of digits
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@+]")
@@ -187,12 +189,20 @@ class Graph:
         self.on = [shape(t) for t in self.tokens]
         self.can = np.array([possible(t) for t in self.tokens], bool).reshape(-1, LABELS)
 
-    def design(self) -> np.ndarray:
-        x = np.zeros((len(self.tokens), FEATURES))
-        for row, on in zip(x, self.on, strict=True):
+    def design(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        rows = self.on[low:high]
+        x = np.zeros((len(rows), FEATURES))
+        for row, on in zip(x, rows, strict=True):
             row[on] = 1
         return x
 
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Node potentials, some rows at a time."""
+        out = np.empty((len(self.on), LABELS))
+        for low in range(0, len(self.on), ROWS):
+            out[low : low + ROWS] = self.design(low, low + ROWS) @ weights
+        return out
+
 
 def train(graph: Graph, steps: int = 200, rate: float = 0.5, decay: float = 1e-3) -> dict[str, np.ndarray]:
     """Weights by pseudo-likelihood: each node given the labels of its neighbours."""
@@ -221,7 +231,7 @@ def train(graph: Graph, steps: int = 200, rate: float = 0.5, decay: float = 1e-3
 
 def posteriors(graph: Graph, model: dict[str, np.ndarray]) -> np.ndarray:
     """Node beliefs after loopy sum-product with damping; observed nodes keep their label."""
-    own = graph.design() @ model["node"] + np.where(graph.can, 0, -30.0)
+    own = graph.scores(model["node"]) + np.where(graph.can, 0, -30.0)
     seen = graph.label > 0
     own[seen] = -30.0
     own[seen, graph.label[seen]] = 0
@@ -311,7 +321,10 @@ def fitted(docs: DataFrame, id_column: str, text_column: str) -> dict[str, np.nd
     """The field, trained on the driver on the bounded sample."""
     text = F.col(f"`{text_column}`")
     n = docs.count()
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col(f"`{id_column}`")), F.lit(1 << 20)) < int(min(1, 4 * SAMPLE_DOCS / max(1, n)) * (1 << 20)))
+    # some rows more than needed by a 63-bit hash, then the first of them in order of that hash
+    draw = F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_column}`"), text), 1)
+    share = F.lit(True) if n <= 4 * SAMPLE_DOCS else draw < F.lit((4 * SAMPLE_DOCS << 63) // n)
+    chosen = docs.filter(share)
 
     def excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -322,21 +335,34 @@ def fitted(docs: DataFrame, id_column: str, text_column: str) -> dict[str, np.nd
                 pieces = [t[max(a - 30, found[i - 1][1] if i else 0) : b + 20 if i + 1 == len(found) or found[i + 1][0] > b + 50 else found[i + 1][0]]
                           for i, (a, b, _) in enumerate(found)]
                 kept.append("".join(pieces)[: 60 * SAMPLE_NODES])
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["text"])
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), batch.column(1)], ["text", "draw"])
 
-    marked = chosen.filter(text.rlike("[0-9@+]")).select(text.alias("text")).mapInArrow(excerpts, "text string")
-    texts = [r.text for r in marked.limit(SAMPLE_DOCS).collect()]
+    marked = chosen.filter(text.rlike("[0-9@+]")).select(text.alias("text"), draw.alias("draw")).mapInArrow(excerpts, "text string, draw bigint")
+    texts = [r.text for r in marked.orderBy("draw", "text").limit(SAMPLE_DOCS).collect()]
     graph = Graph(texts, [base_spans(t) for t in texts], SAMPLE_NODES)
     return train(graph) if graph.tokens and graph.label.any() else None
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their texts hold about ``MARKS`` characters of nodes; a text stays whole."""
+    for batch in batches:
+        low, held = 0, 0
+        for i, t in enumerate(batch.column(1).to_pylist()):
+            marks = sum(map(t.count, "0123456789@+")) if t else 0
+            if i > low and held + marks > MARKS:
+                yield batch.slice(low, i - low)
+                low, held = i, 0
+            held += marks
+        yield batch.slice(low)
+
+
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, spans) of every row; ``spans`` holds kind number, start, stop and whether it is a base span."""
     model = fitted(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("base", pa.bool_())]))
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             base = [base_spans(t) if MARK.search(t) else [] for t in texts]
             more = added_spans(texts, base, model)

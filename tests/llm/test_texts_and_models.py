@@ -386,3 +386,38 @@ def test_ids_do_not_depend_on_what_is_kept(codec, monkeypatch):
     monkeypatch.setattr(piece_codec, "KNOWN_STRETCHES", 50)
     for low in range(0, 120, 7):
         assert [x.tolist() for x in own.encode(texts[low : low + 7])] == library.encode(texts[low : low + 7])
+
+
+def test_runs_of_digits_take_linear_time_and_keep_their_spans():
+    import time
+
+    text = "1" * 1_000_000 + " 10.0.0.1 " + "9" * 300_000 + ".1.2 " + "7.7.7." * 50_000
+    begin = time.monotonic()
+    found = personal_data.base_spans(text)
+    assert time.monotonic() - begin < 5 and (1, 1_000_001, 1_000_009) in found
+    slow = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rnd = random.Random(5)
+    for _ in range(300):
+        text = "".join(rnd.choice("0123.. 5a") for _ in range(rnd.randint(0, 60)))
+        want = [(1, *m.span()) for m in slow.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [x for x in personal_data.base_spans(text) if x[0] == 1] == want
+
+
+def test_the_field_does_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(personal_data, "SAMPLE_DOCS", 40)
+    rnd = random.Random(6)
+    rows = [(i if i % 9 else None, f"call +1 {rnd.randrange(10**9, 10**10)} or mail a{i}@b{i % 5}.org, {rnd.randrange(10**6)} more") for i in range(400)]
+    models = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows[:: 1 if parts == 1 else -1], "doc_id long, text string").repartition(parts)
+        models.append(personal_data.fitted(df, "doc_id", "text"))
+    assert all(np.allclose(models[0][k], models[1][k]) for k in models[0])
+    texts = [t for _, t in rows]
+    base = [personal_data.base_spans(t) for t in texts]
+    whole = personal_data.added_spans(texts, base, models[0])
+    monkeypatch.setattr(personal_data, "MARKS", 30)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array(texts)], ["id", "text"])
+    parts = list(personal_data.sliced([batch]))
+    assert len(parts) > 50 and [t for p in parts for t in p.column(1).to_pylist()] == texts
+    cut = [x for p in parts for x in personal_data.added_spans(p.column(1).to_pylist(), [personal_data.base_spans(t) for t in p.column(1).to_pylist()], models[0])]
+    assert cut == whole
