@@ -15,7 +15,7 @@ in the manifest are read. Files of a local or mounted folder are memory-mapped,
 their file system.
 
 Null and empty texts are documents that hold the end id alone. Rows with equal ids are neighbours, ordered
-by text. Null document ids are refused. Other columns of the input are ignored; an empty table gives an
+by a hash of their text, so that one id's rows may fill several ranges. Documents without an id stand first; the manifest counts them. Other columns of the input are ignored; an empty table gives an
 empty manifest.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from alignlake.session import work_path, written
 
 WORD_CACHE = 500_000
-MANIFEST = "part int, ids_file string, index_file string, documents bigint, ids bigint, first_id bigint"
+MANIFEST = "part int, ids_file string, index_file string, documents bigint, unnamed bigint, ids bigint, first_id bigint"
 CHUNK = 1000  # documents encoded at once
 
 
@@ -64,12 +64,12 @@ class TextIds:
     does not split at white space is applied to whole texts.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, definition: str):
         import json
 
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer = Tokenizer.from_str(definition)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         steps = json.loads(self.tokenizer.to_str())
         self.letters = byte_letters() if all(steps[k] == v for k, v in PLAIN_STEPS.items()) else None
@@ -146,15 +146,17 @@ def _opened(path: str):
 
 def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: str = "doc_id", text_column: str = "text",
                  folder: str | None = None) -> DataFrame:
-    """Writes the files and returns the manifest."""
+    """Writes the files and returns the manifest. The tokenizer's file is read on the driver and sent to the tasks."""
     spark = docs.sparkSession
+    with open(tokenizer_file, encoding="utf-8") as f:
+        definition = f.read()
     folder = folder or work_path(spark, "tokens")
     files, inside = _opened(folder)
     files.create_dir(inside, recursive=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-        .repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text"))
+        .withColumn("order", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "order").sortWithinPartitions("doc_id", "order").drop("order"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
@@ -163,15 +165,14 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: s
 
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
-        encoder = TextIds(tokenizer_file)
+        encoder = TextIds(definition)
         kind = np.dtype("<u2" if max(encoder.vocabulary - 1, end_id) < 1 << 16 else "<u4")
         target, base = _opened(folder)
-        offsets, names, total = [np.zeros(1, np.uint64)], [], 0
+        offsets, names, total, unnamed = [np.zeros(1, np.uint64)], [], 0, 0
         with target.open_output_stream(f"{base}/{name}.ids") as out:
             for batch in batches:
-                if batch.column(0).null_count:
-                    raise ValueError("a document without an id has no place in the file")
-                names.append(batch.column(0).to_numpy().astype("<i8"))
+                unnamed += batch.column(0).null_count
+                names.append(batch.column(0).fill_null(0).to_numpy().astype("<i8"))
                 for i in range(0, batch.num_rows, CHUNK):
                     ids, sizes = encoder.encode(batch.column(1).slice(i, CHUNK))
                     ends = np.cumsum(sizes)
@@ -188,9 +189,9 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, end_id: int, id_column: s
             out.write(doc_ids.tobytes())
         yield pa.RecordBatch.from_pylist([{
             "part": part, "ids_file": f"{folder}/{name}.ids", "index_file": f"{folder}/{name}.idx", "documents": len(doc_ids),
-            "ids": total, "first_id": int(doc_ids[0])}], schema=pa.schema(
+            "unnamed": unnamed, "ids": total, "first_id": int(doc_ids[unnamed]) if unnamed < len(doc_ids) else None}], schema=pa.schema(
                 [("part", pa.int32()), ("ids_file", pa.string()), ("index_file", pa.string()), ("documents", pa.int64()),
-                 ("ids", pa.int64()), ("first_id", pa.int64())]))
+                 ("unnamed", pa.int64()), ("ids", pa.int64()), ("first_id", pa.int64())]))
 
     return written(ordered.mapInArrow(run, MANIFEST), "manifest")
 
@@ -230,8 +231,9 @@ def read_tokens(manifest: DataFrame, use: Callable[[np.ndarray], dict], fields:
                 ids = mapped(row["ids_file"], width)
                 for i in range(0, n, 4096):
                     made = [use(ids[offsets[k] : offsets[k + 1]]) for k in range(i, min(n, i + 4096))]
+                    named = pa.array(doc_ids[i : i + 4096], mask=np.arange(i, i + len(made)) < row["unnamed"])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(doc_ids[i : i + 4096]), pa.array(offsets[i : i + len(made)] + row["base"]),
+                        [named, pa.array(offsets[i : i + len(made)] + row["base"]),
                          pa.array(np.diff(offsets[i : i + len(made) + 1])), *[pa.array([m[c] for m in made]) for c in extra]],
                         ["doc_id", "start", "n_tokens", *extra])
 

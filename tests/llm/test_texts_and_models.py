@@ -140,7 +140,8 @@ def test_secrets_of_an_empty_table(spark):
 
 @pytest.fixture(scope="module")
 def encoder():
-    return token_files.TextIds(f"{TOKENIZERS}/word_bpe_49k.json")
+    with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as f:
+        return token_files.TextIds(f.read())
 
 
 def test_word_by_word_ids_equal_the_library(encoder):
@@ -154,14 +155,17 @@ def test_word_by_word_ids_equal_the_library(encoder):
 def test_token_files_round_trip(spark, encoder):
     rnd = random.Random(6)
     rows = [(i, " ".join(rnd.choices(["The", "cat,", "sät", "日本", "x1"], k=rnd.randint(0, 30)))) for i in rnd.sample(range(10**6), 200)]
-    rows += [(-5, None), (-4, ""), (-3, "a b"), (-3, "a b")]
+    rows += [(-5, None), (-4, ""), (-3, "a b"), (-3, "a b"), (None, "sät"), (None, "sät"), (None, "sät")]
     manifest = token_files.write_tokens(frame(spark, rows), f"{TOKENIZERS}/word_bpe_49k.json", 1)
     got = token_files.read_tokens(manifest, lambda ids: {"all": ids.tolist(), "crc": zlib.crc32(ids.astype("<u4").tobytes())}, "all array<bigint>, crc bigint")
     at = 0
-    for r, (doc_id, text) in zip(sorted(got.collect(), key=lambda r: r.start), sorted(rows, key=lambda r: (r[0], r[1] or "")), strict=True):
+    for r, (doc_id, text) in zip(sorted(got.collect(), key=lambda r: r.start), sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), strict=True):
         want = [*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
         assert (r.doc_id, r.start, r.n_tokens, r["all"]) == (doc_id, at, len(want), want)
         at += len(want)
+    hot = [(7, f"text {i}") for i in range(300)]
+    manifest = token_files.write_tokens(frame(spark, hot), f"{TOKENIZERS}/word_bpe_49k.json", 1)
+    assert manifest.count() > 1 and token_files.read_tokens(manifest, token_files.ids_crc32, "ids_crc32 bigint").count() == 300
     part = manifest.first()
     assert np.memmap(part.ids_file.removeprefix("file:"), "<u2").size == part.ids
     empty = token_files.write_tokens(frame(spark, []), f"{TOKENIZERS}/word_bpe_49k.json", 1)
