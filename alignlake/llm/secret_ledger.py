@@ -28,7 +28,7 @@ from alignlake.session import work_path
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "pem", "provider", "jwt", "login", "bearer")
-VERSION = "2"
+VERSION = "3"
 
 # The rules by kind. The first three are the base rules.
 PATTERNS = {
@@ -37,7 +37,7 @@ PATTERNS = {
     "hex": r"[0-9a-f]{24,}",
     "pem": r"-----BEGIN(?: [A-Z]+)* PRIVATE KEY-----",
     "provider": r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})",
-    "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "jwt": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "login": r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]{1,200}:[^\s:/@]{3,200}@",
     "bearer": r"[Bb]earer +[A-Za-z0-9._~+/-]{20,}",
 }

@@ -425,3 +425,11 @@ def test_the_field_does_not_depend_on_how_rows_are_dealt(spark, monkeypatch):
     assert len(parts) > 50 and [t for p in parts for t in p.column(1).to_pylist()] == texts
     cut = [x for p in parts for x in personal_data.added_spans(p.column(1).to_pylist(), [personal_data.base_spans(t) for t in p.column(1).to_pylist()], models[0])]
     assert cut == whole
+
+
+def test_long_starts_of_tokens_take_linear_time():
+    import time
+
+    begin = time.monotonic()
+    found = secret_ledger.findings("eyJ" * 200_000 + " eyJabcdefgh.abcdefgh1.abcdefgh2 ", secret_ledger.rules())
+    assert time.monotonic() - begin < 3 and [f[0] for f in found] == ["jwt"]
