@@ -101,9 +101,14 @@ def spread_stats(df: DataFrame, values: Sequence[str], keys: Sequence[str] = (),
 
     The values are stored first: they are narrow, and what they come from is then computed once.
     """
+    narrow = df.select(*keys, *values)
+    return measure_stats(narrow.unpivot(list(keys), list(values), "measure", "value"), keys, rows_per_bucket)
+
+
+def measure_stats(long: DataFrame, keys: Sequence[str] = (), rows_per_bucket: int = ordering.ROWS_PER_BUCKET) -> DataFrame:
+    """:func:`spread_stats` of (keys, measure, value) rows; values of several tables need one pass only."""
     keys = list(keys)
-    narrow = written(df.select(*keys, *values), "values")
-    long = narrow.unpivot(keys, list(values), "measure", "value").filter(F.col("value").isNotNull())
+    long = written(long.filter(F.col("value").isNotNull()), "values")
     stats = long.groupBy(*keys, "measure").agg(
         F.count("value").alias("rows"), F.avg("value").alias("mean"),
         F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),

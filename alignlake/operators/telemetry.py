@@ -68,23 +68,23 @@ def trend_slope(df: DataFrame, value: str = "loss", keys: Sequence[str] = RUN_ST
         F.count("*").alias("rows"), F.coalesce(F.regr_slope("value", "idx"), F.lit(0.0)).alias("trend_slope"))
 
 
-def convergence_point(df: DataFrame, value: str = "loss", keys: Sequence[str] = RUN_STAGE, order_by: str = "seq",
-                      window: int = 50, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """First position from which a whole window of rolling deviations stays under a tenth of their mean.
-
-    Looking back from the end of that window needs one pass: the largest deviation of the last
-    ``window`` rows is known at each row, and the candidate is ``window - 1`` rows earlier.
-    """
+def _looked_back(df: DataFrame, value: str, keys: Sequence[str], order_by: str, window: int, rows_per_bucket: int) -> DataFrame:
+    """Rolling mean and deviation, and the largest deviation of the last ``window`` rows, by chunk and stored."""
     indexed = _series(df, value, keys, order_by, rows_per_bucket=rows_per_bucket).filter(F.col("n") > window)
     chunks = Chunks(indexed, keys, before=2 * (window - 1), chunk_rows=rows_per_bucket)
-    rolled = chunks.rows.withColumn("std", F.when(
-        F.col("idx") >= window - 1, F.stddev_samp("value").over(chunks.last(window))))
+    full = F.col("idx") >= window - 1
+    rolled = chunks.rows.withColumns({
+        "mean": F.when(full, F.avg("value").over(chunks.last(window))),
+        "std": F.when(full, F.stddev_samp("value").over(chunks.last(window)))})
     looked = rolled.withColumns({
         "worst": F.max("std").over(chunks.last(window)),
         "start": F.col("idx") - (window - 1),
         "start_seq": F.lag("seq", window - 1).over(chunks.window),
     })
-    home = written(chunks.finish(looked, keep_chunk=True), "rolled")
+    return written(chunks.finish(looked, keep_chunk=True), "rolled")
+
+
+def _first_calm(home: DataFrame, keys: Sequence[str], window: int) -> DataFrame:
     judged = attach_group_values(
         home, keys, {"_sum": F.sum("std"), "_count": F.count("std")},
         {"_total": F.sum("_sum"), "_rows": F.sum("_count")})
@@ -97,6 +97,28 @@ def convergence_point(df: DataFrame, value: str = "loss", keys: Sequence[str] =
         F.min_by(F.when(calm, F.col("start_seq")), F.when(calm, F.col("start"))).alias("convergence_seq"))
 
 
+def convergence_point(df: DataFrame, value: str = "loss", keys: Sequence[str] = RUN_STAGE, order_by: str = "seq",
+                      window: int = 50, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """First position from which a whole window of rolling deviations stays under a tenth of their mean.
+
+    Looking back from the end of that window needs one pass: the largest deviation of the last
+    ``window`` rows is known at each row, and the candidate is ``window - 1`` rows earlier.
+    """
+    return _first_calm(_looked_back(df, value, keys, order_by, window, rows_per_bucket), keys, window)
+
+
+def stability_and_convergence(df: DataFrame, value: str = "loss", keys: Sequence[str] = RUN_STAGE, order_by: str = "seq",
+                              window: int = 50, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """:func:`stability` and :func:`convergence_point` side by side, from one numbering and one walk over the chunks."""
+    keys = list(keys)
+    home = _looked_back(df, value, keys, order_by, window, rows_per_bucket)
+    final = home.groupBy(*keys).agg(
+        F.count("*").alias("rows"), F.max_by("mean", "idx").alias("final_mean"), F.max_by("std", "idx").alias("final_std"),
+        F.regr_slope("value", "idx").alias("trend_slope")).withColumn("coefficient_of_variation", F.try_divide("final_std", "final_mean"))
+    calm = _first_calm(home, keys, window).select(F.struct(*keys).alias("_key"), "convergence_index", "convergence_seq")
+    return final.join(calm, F.struct(*keys).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def gradient_stability(df: DataFrame, value: str = "grad_norm", keys: Sequence[str] = RUN_STAGE,
                        order_by: str = "seq", window: int = 50, exploding: float = 10.0, vanishing: float = 1e-6,
                        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:

@@ -107,15 +107,13 @@ def prompt_set(df: DataFrame, order_by: Sequence[str | Column], vocab: DataFrame
 def evaluation_summary(scored: DataFrame, benchmark: DataFrame, trials: DataFrame) -> DataFrame:
     """Statistics of quality, benchmark and performance tables as (topic, measure, ...) rows."""
     topics = {
-        "quality": evaluation.spread_stats(scored, evaluation.DIMENSIONS),
-        "benchmark": evaluation.spread_stats(benchmark, ["turn_1_score", "turn_2_score", "average_score"]),
-        "performance": evaluation.spread_stats(trials, ["tokens_per_second", "memory_usage_mb", "latency_ms"]),
-    }
+        "quality": (scored, evaluation.DIMENSIONS), "benchmark": (benchmark, ["turn_1_score", "turn_2_score", "average_score"]),
+        "performance": (trials, ["tokens_per_second", "memory_usage_mb", "latency_ms"])}
     result = None
-    for topic, rows in topics.items():
-        part = rows.withColumn("topic", F.lit(topic))
+    for topic, (rows, values) in topics.items():
+        part = rows.select(F.lit(topic).alias("topic"), *[F.col(v).cast("double").alias(v) for v in values]).unpivot(["topic"], list(values), "measure", "value")
         result = part if result is None else result.unionByName(part)
-    return result
+    return evaluation.measure_stats(result, ["topic"])
 
 
 def evaluation_report(model: str, scored: DataFrame, benchmark: DataFrame, trials: DataFrame) -> DataFrame:
@@ -145,14 +143,14 @@ def training_report(history: DataFrame, keys: Sequence[str] = telemetry.RUN_STAG
     keys = list(keys)
     report = reports.stage_performance(history, keys)
     parts = [
-        telemetry.stability(history, keys=keys, window=window).drop("rows"),
-        telemetry.convergence_point(history, keys=keys, window=window).drop("rows"),
+        telemetry.stability_and_convergence(history, keys=keys, window=window).drop("rows"),
         telemetry.gradient_stability(history, keys=keys, window=window).withColumnRenamed(
             "final_grad_norm", "last_grad_norm"),
         telemetry.learning_rate_schedule(history, keys=keys),
     ]
-    for part in parts:
-        report = report.join(part, keys, "left")
+    for part in parts:  # by all keys together, so that a null in one of them is a key like any other
+        values = part.select(F.struct(*keys).alias("_key"), *[c for c in part.columns if c not in keys])
+        report = report.join(values, F.struct(*keys).eqNullSafe(F.col("_key")), "left").drop("_key")
     return report
 
 
