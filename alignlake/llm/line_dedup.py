@@ -38,8 +38,9 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def n_words(line: Column) -> Column:
-    return F.size(F.filter(F.split(line, f"[{SPACE_CHARS}]+"), lambda w: w != ""))
+def has_words(line: Column, count: int) -> Column:
+    """Whether a line has at least ``count`` words; the search ends with the last of them."""
+    return line.rlike(rf"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{{count}}}")
 
 
 def numbered_lines(text: Column, alone: int | None = None) -> Column:
@@ -47,7 +48,7 @@ def numbered_lines(text: Column, alone: int | None = None) -> Column:
     return F.filter(
         F.transform(F.split(text, "\n"), lambda x, i: F.struct(
             F.xxhash64(x).alias("h"), F.when(F.trim(x, F.lit(SPACE_CHARS)) != "", i).alias("at"),
-            *([] if alone is None else [F.when(n_words(x) >= alone, F.hash(x)).alias("check")]))),
+            *([] if alone is None else [F.when(has_words(x, alone), F.hash(x)).alias("check")]))),
         lambda x: x["at"].isNotNull())
 
 
@@ -83,9 +84,12 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     ).select("row", "version", "r.*")
     runs = runs.join(marks, "mark", "left_semi").drop("mark")
     if alone is not None:
-        runs = runs.unionByName(lines.select("row", "version", F.explode(F.filter(F.transform("h", lambda h, i: F.struct(
-            F.col("at")[i].alias("first"), F.col("at")[i].alias("last"), F.xxhash64(F.array(h)).alias("run"), F.col("check")[i].alias("check"))),
-            lambda x: x["check"].isNotNull())).alias("r")).select("row", "version", "r.*"))
+        # single lines are counted by hash first, and only those met again go on
+        single = lines.select("row", "version", F.explode(F.filter(F.transform("h", lambda h, i: F.struct(
+            F.col("at")[i].alias("first"), F.col("at")[i].alias("last"), h.alias("run"), F.col("check")[i].alias("check"))),
+            lambda x: x["check"].isNotNull())).alias("r")).select("row", "version", "r.*")
+        again = written(single.select("run").groupBy("run").agg(F.count("*").alias("n")).filter("n > 1").select("run"), "single-lines")
+        runs = runs.unionByName(single.join(again, "run", "left_semi").select(runs.columns).withColumn("run", F.xxhash64(F.array("run"))))
     runs = written(runs, "runs")
 
     place = F.struct("row", "version", "first")
