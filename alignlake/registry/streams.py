@@ -13,15 +13,15 @@ from alignlake.session import work_path, written
 from alignlake.streaming import jobs, stateful
 
 
-PARTS = 3
+PARTS, FILES = 3, 2
 
 
 def _stream(spark, sf, name, part, newest_first=True):
-    """The table as a stream of several files, one per micro-batch; ``part`` is the SQL number of a row's file."""
+    """The table as a stream of several parts, one per micro-batch, of ``FILES`` files each; ``part`` is the SQL number of a row's part."""
     df, root = V.table(spark, sf, name), work_path(spark, f"stream-{name}")
     for k in sorted(range(PARTS), reverse=newest_first):
-        df.filter(f"{part} = {k}").coalesce(1).write.mode("append").parquet(root)
-    return readers.stream_table(spark, root, df.schema)
+        df.filter(f"{part} = {k}").repartition(FILES).write.mode("append").parquet(root)
+    return readers.stream_table(spark, root, df.schema, files_per_batch=FILES)
 
 
 def stream_filter(spark, sf):
