@@ -9,7 +9,7 @@
 4. Inside a bucket, each class is compared with one centre only, the member whose buckets are fullest. Classes that remain in different
    components are compared by centre: the Jaccard distance is a metric, so two stars can hold a link only
    if the distance of their centres is at most the wanted distance plus both radii. Such centres share one of their rarest
-   shingles, on which they are joined; texts that share a frequent template and no more never meet. Only stars that are near enough are
+   shingles, early enough for what follows to suffice; they are joined on it, and texts that share a frequent template and no more never meet. Only stars that are near enough are
    opened, and their members compared in blocks (a matrix product for some hundred members at once).
 5. A pair's similarity is first estimated jointly from both sketches by maximum likelihood; pairs far
    below the threshold are dropped, the rest is verified on the full sets.
@@ -183,7 +183,7 @@ def prefixes(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
-            rows, found, reach = [], [], []
+            rows, found, reach, sizes = [], [], [], []
             column, radii = batch.column(len(names)), batch.column(radius).to_numpy(zero_copy_only=False)
             for i in range(batch.num_rows):
                 values = column[i].values.to_numpy(zero_copy_only=False)
@@ -194,14 +194,16 @@ def prefixes(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 rows.append(np.full(size, i))
                 found.append(values[order])
                 reach.append((n - np.arange(size)) / n)
+                sizes.append(np.full(size, n))
             if rows:
                 take = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(k).take(take) for k in range(len(names))], pa.array(np.concatenate(found)), pa.array(np.concatenate(reach))],
-                    [*names, "shingle", "reach"])
+                    [*[batch.column(k).take(take) for k in range(len(names))], pa.array(np.concatenate(found)), pa.array(np.concatenate(reach)),
+                     pa.array(np.concatenate(sizes))],
+                    [*names, "shingle", "reach", "held"])
 
     kinds = ", ".join(f"{c} {held.schema[c].dataType.simpleString()}" for c in names)
-    return held.select(*names, "shingles").mapInArrow(run, f"{kinds}, shingle bigint, reach double")
+    return held.select(*names, "shingles").mapInArrow(run, f"{kinds}, shingle bigint, reach double, held bigint")
 
 
 def estimated(pairs: DataFrame, nodes: DataFrame, floor) -> DataFrame:
@@ -346,7 +348,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         pairs = left.join(right, "shingle").filter(
             (F.col("star") != F.col("star_2")) & (F.col("component") != F.col("component_2"))
             & (F.col("large") * 100 >= F.col("small_2") * percent) & (F.col("large_2") * 100 >= F.col("small") * percent)
-            & (F.col("reach") >= floor - 1e-9) & (F.col("reach_2") >= floor - 1e-9))
+            & (F.col("reach") >= floor - 1e-9) & (F.col("reach_2") >= floor - 1e-9)
+            # at the first shingle that two sets share, what is left of each still has to hold all that they share
+            & (F.least(F.col("reach") * F.col("held"), F.col("reach_2") * F.col("held_2")) * (1 + floor) >= floor * (F.col("held") + F.col("held_2")) - 1e-6))
         ahead = F.col("star") < F.col("star_2")
         side = lambda c, d: F.when(ahead, F.col(c)).otherwise(F.col(d))
         return pairs.select(side("star", "star_2").alias("a"), side("star_2", "star").alias("b"), *[
