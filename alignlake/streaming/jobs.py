@@ -110,7 +110,8 @@ def monitor(stream: DataFrame, run: str = "run_id", stage: str = "stage", seq: s
         since = np.maximum.accumulate(np.where(better, idx, -1))
         counter = np.where(since >= 0, idx - since, patience + idx + 1)
         padded = np.concatenate([np.full(max(0, window - len(recent)), np.nan), np.asarray(recent, float)[-window:], values])
-        means = np.lib.stride_tricks.sliding_window_view(padded, window)[1:].mean(1)
+        # added up in the order of the rows, as a window function does: another order ends in other last bits
+        means = sum(padded[1 + i:1 + i + len(values)] for i in range(window)) / window
         full = seen + idx + 1 >= window
         bad = full & (~np.isfinite(values) | (values > means * factor))
         state.update((padded[-min(window, seen + len(values)):].tolist(), float(before[-1]), int(counter[-1]), int(seen + len(values))))
