@@ -17,6 +17,9 @@ from alignlake.session import written
 
 ROWS_PER_BUCKET = 1_000_000
 CHUNK_ROWS = 500_000
+# Every range is a task and a file. Beyond so many, a range holds so many rows at least, however small a bucket the caller names.
+FEW_RANGES = 128
+RANGE_ROWS = 50_000
 
 
 def _columns(order_by: str | Sequence[str]) -> list[str]:
@@ -28,9 +31,11 @@ def with_bucket(df: DataFrame, order_by: str | Sequence[str], bucket: str = "_bu
     """Add a bucket number that grows with the order key; buckets hold about equally many rows.
 
     The table is range-partitioned once on the key, of any type and any number of columns, and stored with the number of
-    its range. As many ranges are made as the rows need, without a limit.
+    its range. As many ranges are made as the rows need, without a limit; beyond ``FEW_RANGES`` of them a range holds
+    ``RANGE_ROWS`` rows or more, so that tasks and files stay few where ``rows_per_bucket`` is small.
     """
-    buckets = -(-df.count() // rows_per_bucket)
+    rows = df.count()
+    buckets = min(-(-rows // rows_per_bucket), max(FEW_RANGES, -(-rows // RANGE_ROWS)))
     if buckets <= 1:
         return df.withColumn(bucket, F.lit(0))
     ranged = df.repartitionByRange(buckets, *_columns(order_by)).withColumn(bucket, F.spark_partition_id())

@@ -89,3 +89,9 @@ def test_group_values_reach_every_row(skewed):
     for r in seen.filter("key IS NOT NULL").collect():
         assert r.lo == r.hi == want[r.key]
     assert got.count() == skewed.count()
+
+
+def test_small_buckets_do_not_make_a_task_for_every_few_rows(spark):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("id"))
+    assert ordering.with_bucket(df, "id", rows_per_bucket=10).select("_bucket").distinct().count() <= ordering.FEW_RANGES
+    assert ordering.with_index(df, "id", rows_per_bucket=10).filter("idx <> id").count() == 0
