@@ -56,7 +56,9 @@ def stream_monitor(spark, sf):
 
 
 def stream_batches(spark, sf):
-    docs = _stream(spark, sf, "documents", f"doc_id % {PARTS}").select("doc_id", tokens.text.tokens(F.col("text")).alias("tokens"))
+    # a micro-batch is two files: its rows are dealt over all cores before they grow into tokens
+    dealt = _stream(spark, sf, "documents", f"doc_id % {PARTS}").select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism)
+    docs = dealt.select("doc_id", tokens.text.tokens(F.col("text")).alias("tokens"))
     rows = docs.select("doc_id", F.transform("tokens", lambda t: F.length(t)).alias("input_ids")).select(
         "doc_id", "input_ids", F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
         F.col("input_ids").alias("labels"))

@@ -29,13 +29,18 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/data")
 
 
+# A reader decodes up to 4096 rows of a row group at once, padded batches to a gigabyte and more: row groups are kept small.
+GROUP_BYTES = 4 << 20
+
+
 def drain_batches(stream: DataFrame, name: str, build: Callable[[DataFrame], DataFrame],
                   mode: str = "append") -> DataFrame:
     """Apply a batch job to every micro-batch. Each batch owns one folder, so a retry replaces it."""
     root = work_path(stream.sparkSession, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        build(batch).write.mode("overwrite").parquet(f"{root}/data/micro_batch={batch_id}")
+        writer = build(batch).write.mode("overwrite").option("parquet.block.size", str(GROUP_BYTES))
+        writer.parquet(f"{root}/data/micro_batch={batch_id}")
 
     query = (
         stream.writeStream.outputMode(mode).trigger(availableNow=True)
@@ -75,15 +80,23 @@ def windowed_counts(stream: DataFrame, name: str, late_by: str | None, time: str
     return changes.groupBy("window_start", "window_end", *keys).agg(F.max_by("errors", "micro_batch").alias("errors"))
 
 
-def shuffled_batches(stream: DataFrame, row_id: str, batch_size: int, name: str, seed: int = 42) -> DataFrame:
+# Rows with their ids are wide: so many of them lie in one range while a micro-batch is put in order.
+ROWS_PER_RANGE = 2_000
+
+
+def shuffled_batches(stream: DataFrame, row_id: str, batch_size: int, name: str, seed: int = 42,
+                     rows_per_bucket: int = ROWS_PER_RANGE) -> DataFrame:
     """Shuffle each micro-batch by hash, cut it into batches and pad them. The micro-batch is the buffer.
 
-    A batch is known by (micro_batch, batch_id): batch numbers start anew in every micro-batch.
+    A batch is known by (micro_batch, batch_id): batch numbers start anew in every micro-batch. Places have no gaps, so they
+    number the batches as they are, and no task gets a whole micro-batch.
     """
+    place = F.col("_position")
 
     def build(batch: DataFrame) -> DataFrame:
-        placed = sampling.with_shuffle_position(batch, row_id, seed, "_position")
-        return tokens.collate(tokens.with_batch(placed, "_position", batch_size))
+        placed = sampling.with_shuffle_position(batch, row_id, seed, "_position", rows_per_bucket=rows_per_bucket)
+        return tokens.collate(placed.withColumns({
+            "batch_id": F.floor(place / batch_size).cast("bigint"), "batch_pos": (place % batch_size).cast("int")}).drop("_position"))
 
     return drain_batches(stream, name, build)
 

@@ -2,10 +2,11 @@
 
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from alignlake.operators import telemetry, tokens
+from alignlake.operators import ordering, telemetry, tokens
 from alignlake.session import shared_folder, work_path, written
 from alignlake.sources import readers, writers
 from alignlake.streaming import jobs
@@ -133,3 +134,30 @@ def test_monitor_adds_up_in_the_order_of_the_rows(spark, tmp_path):
     got = jobs.drain(jobs.monitor(readers.stream_table(spark, str(tmp_path / "ties"), df.schema, files_per_batch=100)), "monitor")
     flags = telemetry.loss_divergence(df).select("run_id", "stage", "seq", "diverged")
     assert got.select(*flags.columns).exceptAll(flags).count() == 0 and got.count() == 4000
+
+
+def test_wide_micro_batches_are_put_in_order_by_ranges(spark, tmp_path, monkeypatch):
+    rows = spark.range(5000).select("id", *[F.array(F.lit(1)).alias(c) for c in ("input_ids", "attention_mask", "labels")])
+    rows.write.parquet(str(tmp_path / "rows"))
+    passes, cut = [], ordering.with_bucket
+
+    def counted(df, *args, **kwargs):
+        out = cut(df, *args, **kwargs)
+        passes.append(out.groupBy("_bucket").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(ordering, "with_bucket", counted)
+    got = jobs.shuffled_batches(readers.stream_table(spark, str(tmp_path / "rows"), rows.schema, files_per_batch=100), "id", 16, "wide")
+    assert len(passes) == 1 and passes[0] < 4000
+    assert sorted(r.batch_id for r in got.collect()) == list(range(313)) and got.agg(F.sum("batch_rows")).first()[0] == 5000
+
+
+def test_padded_batches_lie_in_small_row_groups(spark, tmp_path, monkeypatch):
+    """A reader decodes thousands of rows of a row group at once, so a group of long batches must be short."""
+    wide = F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda i: F.pmod(F.hash("id", i), F.lit(50_000)))
+    rows = spark.range(4000).select("id", wide.alias("input_ids")).selectExpr("id", "input_ids", "input_ids AS attention_mask", "input_ids AS labels")
+    rows.write.parquet(str(tmp_path / "rows"))
+    got = jobs.shuffled_batches(readers.stream_table(spark, str(tmp_path / "rows"), rows.schema, files_per_batch=100), "id", 4, "groups")
+    files = [f.removeprefix("file://") for f in got.inputFiles()]
+    groups = [g.num_rows for f in files for m in [pq.ParquetFile(f).metadata] for g in map(m.row_group, range(m.num_row_groups))]
+    assert sum(groups) == 1000 and max(groups) <= 110
