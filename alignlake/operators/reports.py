@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from alignlake.functions import patterns, text
 from alignlake.operators import ordering, quality
@@ -103,6 +106,20 @@ def detect_kind(df: DataFrame) -> str:
     return next((kind for kind, fields in KIND_COLUMNS.items() if names & set(fields)), "unknown")
 
 
+def _any_harmful(value: Column, kind: DataType) -> Column:
+    """True when a text anywhere in a value is harmful. Texts are read as they are: JSON escapes would hide words at line breaks."""
+    if isinstance(kind, StringType):
+        return patterns.is_harmful(value)
+    if isinstance(kind, StructType):
+        return reduce(operator.or_, [_any_harmful(value[f.name], f.dataType) for f in kind], F.lit(False))
+    if isinstance(kind, ArrayType):
+        return F.coalesce(F.exists(value, lambda v: _any_harmful(v, kind.elementType)), F.lit(False))
+    if isinstance(kind, MapType):
+        return (_any_harmful(F.map_keys(value), ArrayType(kind.keyType))
+                | _any_harmful(F.map_values(value), ArrayType(kind.valueType)))
+    return F.lit(False)
+
+
 def health_report(df: DataFrame, small: int = 100) -> DataFrame:
     """Kind, issues of all rows and advice, in one row; a caller who wants a sample passes one.
 
@@ -112,9 +129,9 @@ def health_report(df: DataFrame, small: int = 100) -> DataFrame:
     sample = df
     if kind == "chat":
         sample = with_messages(sample, "_messages")
-        whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+        harmful = reduce(operator.or_, [_any_harmful(F.col(f"`{f.name}`"), f.dataType) for f in df.schema])
         issue = (F.when(F.coalesce(F.size("_messages"), F.lit(0)) <= 0, "no_messages")
-                 .when(patterns.is_harmful(whole), "harmful_content"))
+                 .when(harmful, "harmful_content"))
     elif kind == "preference":
         sample = with_preference(sample)
         missing = (F.col("prompt") == "") | (F.col("chosen") == "") | (F.col("rejected") == "")
