@@ -18,7 +18,7 @@ def stage_provenance(history: DataFrame, ends: DataFrame, run: str = "run_id", s
     """Roll-up of every stage with the end that was recorded for it; a stage without one is not completed.
 
     ``ends`` holds (run, stage, ended_at[, final_loss][, checkpoint_path]). Of several ends the latest counts, and the latest that
-    names a loss or a checkpoint gives these. A recorded loss takes the place of the last one measured.
+    names a loss or a checkpoint gives these. A recorded loss takes the place of the last one measured, which may be NaN.
     """
     facts = [F.max("ended_at").alias("end_time")]
     for name in ("final_loss", "checkpoint_path"):
@@ -26,7 +26,9 @@ def stage_provenance(history: DataFrame, ends: DataFrame, run: str = "run_id", s
             facts.append(F.max_by(name, F.when(F.col(name).isNotNull(), F.col("ended_at"))).alias(f"_{name}"))
     last = ends.groupBy(F.struct(run, stage).alias("_key")).agg(*facts)
     rolled = provenance_rollup(history, [run, stage]).drop("end_time", "completed").withColumn("_key", F.struct(run, stage))
-    joined = rolled.join(last, "_key", "left").drop("_key")
+    measured = history.groupBy(F.struct(run, stage).alias("_key")).agg(
+        F.max_by("loss", F.when(F.col("loss").isNotNull(), F.col("seq"))).alias("_measured"))
+    joined = rolled.join(measured, "_key").join(last, "_key", "left").drop("_key").withColumn("final_loss", F.col("_measured")).drop("_measured")
     if "final_loss" in ends.columns:
         joined = joined.withColumn("final_loss", F.coalesce("_final_loss", "final_loss")).drop("_final_loss")
     available = F.col("_checkpoint_path").isNotNull() if "checkpoint_path" in ends.columns else F.lit(False)
