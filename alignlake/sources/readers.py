@@ -23,6 +23,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly to as many tasks as the scan has, and to every core at least.
+
+    For costly work on few coarse files: a row group is never cut, so such a scan has enough parts by its bytes and
+    yet rows only in a few of them, where :func:`spread` would leave it.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
+
+
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None,
                split: str | None = None, split_column: str = "split", max_rows: int = 0,
                order_by: Sequence[str | Column] = (), options: dict[str, str] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from alignlake.operators import ordering, sampling, validate
 from alignlake.operators.ordering import ROWS_PER_BUCKET, Chunks
 from alignlake.session import work_path
+from alignlake.sources import readers
 
 INF = math.inf
 
@@ -263,7 +264,7 @@ def prepare_stream(stream: DataFrame, kind: str, max_length: int, vocab: DataFra
 
     A micro-batch with more than ``error_share`` invalid rows goes to quarantine as a whole. Of the others, unsafe rows leave, rejected rows go to
     quarantine with their reason and processed rows that fail their check with ``failed_check``. ``gates`` tells for each micro-batch whether it
-    passed; without one that did, ``rows`` is None.
+    passed; without one that did, ``rows`` is None. A micro-batch is dealt to all cores first, however few files it comes in.
     """
     from alignlake.operators import reports
     from alignlake.plans import jobs
@@ -276,7 +277,7 @@ def prepare_stream(stream: DataFrame, kind: str, max_length: int, vocab: DataFra
         return rows.select(F.to_json(F.struct(*[F.col(c) for c in stream.columns])).alias("row"), reason.alias("reason"))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = readers.dealt(batch).persist()
         report = reports.validation_report(batch, kind, error_share).first()
         if report["is_valid"]:
             rows = validate.filter_content(batch, kind) if filter_content else batch

@@ -118,3 +118,14 @@ def test_preparation_quarantines_rows_and_whole_batches(spark, tmp_path):
     assert sorted(rows.select(want.columns).collect(), key=key) == sorted(want.collect(), key=key)
     assert sorted((r.micro_batch, r.reason) for r in quarantine.collect()) == [(1, "missing_fields"), *[(2, "failed_batch")] * 5]
     assert sorted((r.micro_batch, r.passed, r.total) for r in gates.collect()) == [(0, True, 30), (1, True, 30), (2, False, 5)]
+
+
+def test_preparation_deals_a_micro_batch_of_one_file_to_all_cores(spark, tmp_path):
+    schema = "id long, prompt string, chosen string, rejected string"
+    good = [(i, f"What is question {i} about", f"It is the answer {i} of all", f"No answer {i} is known here") for i in range(100)]
+    vocab = plans.vocabulary_of(spark.createDataFrame(good, schema), "preference", 100)
+    path = str(tmp_path / "coarse")
+    spark.createDataFrame(good, schema).coalesce(1).write.parquet(path)
+    rows, _, _ = stateful.prepare_stream(readers.stream_table(spark, path, schema), "preference", 64, vocab, root=str(tmp_path / "q"))
+    assert sorted(r.id for r in rows.select("id").collect()) == list(range(100))
+    assert rows.select(F.input_file_name()).distinct().count() == spark.sparkContext.defaultParallelism
