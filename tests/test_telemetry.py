@@ -7,7 +7,9 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from alignlake.operators import reports, telemetry
+from alignlake.operators import ordering, reports, telemetry
+from alignlake.registry import series as registered
+from alignlake.registry.check import difference
 
 NAN, INF = float("nan"), float("inf")
 
@@ -207,3 +209,21 @@ def test_error_reports(spark):
     got = {(r.dimension, r.entry): (r.errors, r.recovered) for r in reports.error_counts(df).collect()}
     assert got == {("total", "all"): (3, 2), ("category", "memory"): (2, 1), ("category", "network"): (1, 1),
                    ("severity", "low"): (2, 2), ("severity", "high"): (1, 0)}
+
+
+@pytest.mark.parametrize("name", ["rl_stopping"])
+def test_beyond_few_ranges_a_range_of_the_query_is_not_its_bucket(spark, sf_dir, monkeypatch, name):
+    made = []
+
+    def counted(df, folder):
+        stored = written(df, folder)
+        if folder == "ranges":
+            made.append(stored.select("_bucket").distinct().count())
+        return stored
+
+    written = ordering.written
+    monkeypatch.setattr(ordering, "written", counted)
+    monkeypatch.setattr(ordering, "FEW_RANGES", 2, raising=False)
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 250, raising=False)
+    assert difference(registered.QUERIES[name](spark, sf_dir), sf_dir, registered.ORACLES[name]) is None
+    assert made and max(made) <= 4  # 1,000 events; buckets of 90 rows would make 11 or 12
