@@ -211,7 +211,8 @@ def test_error_reports(spark):
                    ("severity", "low"): (2, 2), ("severity", "high"): (1, 0)}
 
 
-@pytest.mark.parametrize("name", ["rl_stopping", "rolling_stability", "stepwise_divergence", "gradient_stability", "lr_schedule"])
+@pytest.mark.parametrize("name", [
+    "rl_stopping", "rolling_stability", "stepwise_divergence", "gradient_stability", "lr_schedule", "convergence_point"])
 def test_beyond_few_ranges_a_range_of_the_query_is_not_its_bucket(spark, sf_dir, monkeypatch, name):
     made = []
 
