@@ -212,7 +212,7 @@ def test_error_reports(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "rl_stopping", "rolling_stability", "stepwise_divergence", "gradient_stability", "lr_schedule", "convergence_point"])
+    "rl_stopping", "rolling_stability", "stepwise_divergence", "gradient_stability", "lr_schedule", "convergence_point", "loss_divergence"])
 def test_beyond_few_ranges_a_range_of_the_query_is_not_its_bucket(spark, sf_dir, monkeypatch, name):
     made = []
 
